@@ -19,10 +19,11 @@ subtrees rooted at those tags, `#ids` or `.classes`; `attrs` keeps only those at
 from __future__ import annotations
 
 import html as entities
+import re
 import sys
-from collections import Counter
 from html.entities import html5
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -46,108 +47,179 @@ SILENT_TAGS = frozenset("rp rt script style template".split())
 VERBATIM_TAGS = frozenset("pre textarea".split())
 ASCII_BLANK = " \n\t\f\r"
 
-OUTPUT_BYTES = 8 << 20  # HTML characters per Arrow batch handed back to the JVM
+OUTPUT_BYTES = 1 << 20  # HTML characters per Arrow batch handed back to the JVM
+
+
+# Plain markup, read token by token without the general parser.
+_SPACE = r"[ \t\r\n\f]"
+_NAME = r"[a-zA-Z][a-zA-Z0-9]*"
+_ATTR = r"""([a-zA-Z_][a-zA-Z0-9_:.-]*)(?:=(?:"([^"]*)"|'([^']*)'|([^ \t\r\n\f"'=<>`/]+)(?=[ \t\r\n\f>]|\Z)))?"""
+_ATTRS = re.compile(_ATTR)
+_TEXT_AND_TAG = re.compile(
+    rf"([^<&]*)<(?:/({_NAME}){_SPACE}*|({_NAME})((?:{_SPACE}+{re.sub('[(](?![?])', '(?:', _ATTR)})*){_SPACE}*(/?))>"
+)
+_OTHER = re.compile(
+    r"(?P<text>[^<&]+)"
+    r"|&(?P<named>[a-zA-Z][a-zA-Z0-9]*);|&#(?P<number>[0-9]+|[xX][0-9a-fA-F]+);|(?P<amp>&)(?=[ \t\r\n\f])"
+    r"|<!--(?![>-])(?P<comment>[^-]*(?:-[^-]+)*)-->"
+    r"|<!(?P<doctype>[dD][oO][cC][tT][yY][pP][eE][^<>\[\]]*)>"
+)
+# Elements whose content is not ordinary markup for some parser version.
+RAW_TAGS = frozenset(
+    "iframe noembed noframes noscript plaintext script style textarea title xmp".split()
+)
+_RAW_CONTENT = {
+    tag: re.compile(rf"((?:(?!</{tag}|<!--).)*)</{tag}{_SPACE}*>", re.DOTALL | re.IGNORECASE)
+    for tag in ("script", "style")
+}
+_PLAIN_CONTENT = {
+    tag: re.compile(rf"([^<&]*)</{tag}{_SPACE}*>", re.IGNORECASE) for tag in RAW_TAGS
+}
 
 
 class _Open:
-    """An element whose end has not been seen."""
+    """An element whose end has not been seen; `node` is its row, None if it is not kept."""
 
-    __slots__ = ("tag", "index", "children", "sole", "kept")
+    __slots__ = ("tag", "node", "number", "children", "sole")
 
-    def __init__(self, tag, index, kept):
-        self.tag, self.index, self.kept = tag, index, kept
+    def __init__(self, tag, node, number):
+        self.tag, self.node, self.number = tag, node, number
         self.children, self.sole = 0, None
 
 
 class _Columns:
-    """Flat column buffers of the pages of one output batch."""
+    """Nodes and texts of the pages of one output batch."""
 
     def __init__(self):
-        self.end, self.parent, self.tag, self.elem_id = [], [], [], []
-        self.class_raw, self.own, self.text_from, self.text_to = [], [], [], []
-        self.attr_names, self.attr_values, self.attr_offsets = [], [], [0]
-        self.texts = []
-        self.node_offsets, self.text_offsets, self.ok = [0], [0], []
+        self.nodes, self.texts, self.ok = [], [], []
+        self.node_offsets, self.text_offsets = [0], [0]
 
     def cut_back(self):
         """Forget the nodes of a page that failed half way."""
-        n = self.node_offsets[-1]
-        for column in (self.end, self.parent, self.tag, self.elem_id, self.class_raw,
-                       self.own, self.text_from, self.text_to):
-            del column[n:]
-        del self.attr_offsets[n + 1:]
-        del self.attr_names[self.attr_offsets[-1]:]
-        del self.attr_values[self.attr_offsets[-1]:]
+        del self.nodes[self.node_offsets[-1]:]
         del self.texts[self.text_offsets[-1]:]
 
     def close_page(self, ok):
-        self.node_offsets.append(len(self.tag))
+        self.node_offsets.append(len(self.nodes))
         self.text_offsets.append(len(self.texts))
         self.ok.append(ok)
 
     def to_arrow(self):
-        ids = [i - start for start, stop in zip(self.node_offsets, self.node_offsets[1:])
-               for i in range(start, stop)]
-        tokens = [None if c is None else c.split() for c in self.class_raw]
-        attrs = pa.MapArray.from_arrays(
-            pa.array(self.attr_offsets, pa.int32()),
-            pa.array(self.attr_names, pa.string()),
-            pa.array(self.attr_values, pa.string()),
+        columns = list(zip(*self.nodes)) or [()] * len(NODE)
+        attrs = columns[6]
+        columns[6] = pa.MapArray.from_arrays(
+            pa.array([0, *accumulate(map(len, attrs))], pa.int32()),
+            pa.array([name for a in attrs for name in a], pa.string()),
+            pa.array([value for a in attrs for value in a.values()], pa.string()),
+            mask=pa.array([not a for a in attrs], pa.bool_()),
         )
+        kinds = [pa.int32()] * 3 + [pa.string()] * 3 + [None, pa.string()] + [pa.int32()] * 2
         node = pa.StructArray.from_arrays(
-            [
-                pa.array(ids, pa.int32()),
-                pa.array(self.end, pa.int32()),
-                pa.array(self.parent, pa.int32()),
-                pa.array(self.tag, pa.string()),
-                pa.array(self.elem_id, pa.string()),
-                pa.array(self.class_raw, pa.string()),
-                pa.array(tokens, pa.list_(pa.string())),
-                attrs,
-                pa.array(self.own, pa.string()),
-                pa.array(self.text_from, pa.int32()),
-                pa.array(self.text_to, pa.int32()),
-            ],
+            [c if kind is None else pa.array(c, kind) for c, kind in zip(columns, kinds)],
             names=NODE.fieldNames(),
         )
-        dropped = pa.array([not ok for ok in self.ok], pa.bool_())
+        failed = pa.array([not ok for ok in self.ok], pa.bool_())
         return [
-            pa.ListArray.from_arrays(pa.array(self.node_offsets, pa.int32()), node, mask=dropped),
+            pa.ListArray.from_arrays(pa.array(self.node_offsets, pa.int32()), node, mask=failed),
             pa.ListArray.from_arrays(
-                pa.array(self.text_offsets, pa.int32()), pa.array(self.texts, pa.string()), mask=dropped
+                pa.array(self.text_offsets, pa.int32()), pa.array(self.texts, pa.string()), mask=failed
             ),
             pa.array(self.ok, pa.bool_()),
         ]
 
 
 class _PageReader(HTMLParser):
-    """Feeds one page's tags and text runs into the column buffers."""
+    """Feeds one page's tags and text runs into the column buffers.
+
+    Plain markup takes the quick way of `read`; from the first construct it
+    does not know on, the general parser reads the rest. Both call the same handlers.
+    """
 
     def __init__(self, columns, within, attrs):
         super().__init__(convert_charrefs=False)
-        self.columns, self.attrs = columns, attrs
+        self.nodes, self.texts, self.attrs = columns.nodes, columns.texts, attrs
+        self.first_node, self.first_text = len(self.nodes), len(self.texts)
         self.everything = within is None
-        self.tags = {w for w in within or () if w[0] not in ".#"}
-        self.ids = {w[1:] for w in within or () if w[0] == "#"}
-        self.classes = {w[1:] for w in within or () if w[0] == "."}
-        self.first_node, self.first_text = len(columns.tag), len(columns.texts)
-        self.stack = [_Open(None, -1, self.everything)]
-        self.open_tags = Counter()
+        self.tags, self.ids, self.classes = within or ((), (), frozenset())
+        self.stack = [_Open(None, None, -1)]
+        self.open_tags = {}
         self.silent = self.verbatim = 0  # open SILENT_TAGS and VERBATIM_TAGS
         self.dropped = -1
         self.run = []
 
-    # -- events ---------------------------------------------------------------
+    def read(self, html):
+        at = self._read_plain(html)
+        if at < len(html):
+            self.feed(html[at:])
+            self.close()
+        self._end_run()
+        while len(self.stack) > 1:
+            self._close()
+
+    def _read_plain(self, html):
+        """Read markup while it is plain; return where the rest starts."""
+        run, at = self.run, 0
+        while True:
+            token = _TEXT_AND_TAG.match(html, at)
+            if token is None:
+                token = _OTHER.match(html, at)
+                if token is None:
+                    return at
+                self._read_other(token.lastgroup, token[token.lastgroup])
+                at = token.end()
+                continue
+            text, end, tag, attrs, empty = token.groups()
+            after, content = token.end(), None
+            if end is None:
+                tag = tag.lower()
+                if tag in RAW_TAGS and not empty:
+                    content = _RAW_CONTENT.get(tag, _PLAIN_CONTENT[tag]).match(html, after)
+                    if content is None:
+                        return at
+            if text:
+                run.append(text)
+            if end is not None:
+                self.handle_endtag(end.lower())
+            else:
+                self._start(tag, self._attributes(attrs) if attrs else {}, empty or tag in VOID_TAGS)
+                if content is not None:
+                    if content[1]:
+                        run.append(content[1])
+                    self.handle_endtag(tag)
+                    after = content.end()
+            at = after
+
+    def _read_other(self, kind, value):
+        if kind == "named":
+            self.handle_entityref(value)
+        elif kind == "number":
+            self.handle_charref(value)
+        elif kind == "comment" or kind == "doctype":
+            self.handle_comment(value)
+        else:
+            self.run.append(value)
+
+    @staticmethod
+    def _attributes(text):
+        values = {name.lower(): a or b or c for name, a, b, c in _ATTRS.findall(text)}
+        if "&" in text:
+            values = {name: entities.unescape(value) for name, value in values.items()}
+        return values
+
+    # -- events of the general parser --------------------------------------------
     def handle_starttag(self, tag, attrs):
-        self._start(tag, attrs, tag in VOID_TAGS)
+        self._start(tag, {name: value or "" for name, value in attrs}, tag in VOID_TAGS)
 
     def handle_startendtag(self, tag, attrs):
-        self._start(tag, attrs, True)
+        self._start(tag, {name: value or "" for name, value in attrs}, True)
 
     def handle_endtag(self, tag):
-        self._end_run()
-        if self.open_tags[tag]:  # an end tag nothing is open for is ignored
-            while self._close().tag != tag:
+        if self.run:
+            self._end_run()
+        if self.stack[-1].tag == tag:
+            self._close()
+        elif self.open_tags.get(tag):  # an end tag nothing is open for is ignored
+            while self._close() != tag:
                 pass
 
     def handle_data(self, data):
@@ -172,68 +244,61 @@ class _PageReader(HTMLParser):
         else:
             self._add_child(data)
 
-    def finish(self):
-        self.close()
-        self._end_run()
-        while len(self.stack) > 1:
-            self._close()
-
-    # -- tree -----------------------------------------------------------------
+    # -- tree -----------------------------------------------------------------------
     def _start(self, tag, attrs, empty):
-        self._end_run()
-        attrs = {name: value or "" for name, value in attrs}
-        tokens = attrs["class"].split() if "class" in attrs else None
-        kept = (
-            self.stack[-1].kept
+        if self.run:
+            self._end_run()
+        above = self.stack[-1]
+        above.children += 1
+        above.sole = None
+        raw = attrs.get("class")
+        tokens = None if raw is None else raw.split()
+        if (
+            self.everything
+            or above.node is not None
             or tag in self.tags
             or attrs.get("id") in self.ids
-            or (tokens is not None and not self.classes.isdisjoint(tokens))
-        )
-        self._add_child(None)
-        if kept:
-            index = self._emit(tag, attrs, tokens)
+            or (tokens and not self.classes.isdisjoint(tokens))
+        ):
+            number = len(self.nodes) - self.first_node
+            if attrs and self.attrs is not None:
+                kept = {name: attrs[name] for name in self.attrs if name in attrs}
+            else:
+                kept = attrs
+            start = len(self.texts) - self.first_text
+            node = [number, number, above.number, tag, attrs.get("id"),
+                    " " + " ".join(tokens) + " " if tokens else None, kept, None, start, start]
+            self.nodes.append(node)
         else:
-            index = self.dropped = self.dropped - 1
-        self.stack.append(_Open(tag, index, kept))
-        self._count(tag, 1)
+            node = None
+            number = self.dropped = self.dropped - 1
         if empty:
-            self._close()
-
-    def _emit(self, tag, attrs, tokens):
-        out = self.columns
-        index = len(out.tag) - self.first_node
-        out.tag.append(tag)
-        out.parent.append(self.stack[-1].index)
-        out.elem_id.append(attrs.get("id"))
-        out.class_raw.append(None if tokens is None else " ".join(tokens))
-        out.text_from.append(len(out.texts) - self.first_text)
-        for column in (out.end, out.own, out.text_to):
-            column.append(None)
-        for name, value in attrs.items():
-            if self.attrs is None or name in self.attrs:
-                out.attr_names.append(name)
-                out.attr_values.append(value)
-        out.attr_offsets.append(len(out.attr_names))
-        return index
+            return
+        self.stack.append(_Open(tag, node, number))
+        self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
+        if tag in SILENT_TAGS:
+            self.silent += 1
+        elif tag in VERBATIM_TAGS:
+            self.verbatim += 1
 
     def _close(self):
-        node = self.stack.pop()
-        self._count(node.tag, -1)
-        own = node.sole if node.children == 1 else None
-        if node.kept:
-            out, at = self.columns, self.first_node + node.index
-            out.end[at] = len(out.tag) - self.first_node - 1
-            out.own[at] = own
-            out.text_to[at] = len(out.texts) - self.first_text
+        closed = self.stack.pop()
+        tag, node = closed.tag, closed.node
+        self.open_tags[tag] -= 1
+        if tag in SILENT_TAGS:
+            self.silent -= 1
+        elif tag in VERBATIM_TAGS:
+            self.verbatim -= 1
         above = self.stack[-1]
-        if above.children == 1:
-            above.sole = own
-        return node
-
-    def _count(self, tag, by):
-        self.open_tags[tag] += by
-        self.silent += by * (tag in SILENT_TAGS)
-        self.verbatim += by * (tag in VERBATIM_TAGS)
+        if closed.children == 1:
+            if above.children == 1:
+                above.sole = closed.sole
+            if node is not None:
+                node[7] = closed.sole
+        if node is not None:
+            node[1] = len(self.nodes) - self.first_node - 1
+            node[9] = len(self.texts) - self.first_text
+        return tag
 
     def _add_child(self, string):
         above = self.stack[-1]
@@ -244,15 +309,15 @@ class _PageReader(HTMLParser):
         if not self.run:
             return
         data = "".join(self.run)
-        self.run = []
+        self.run.clear()
         if not self.verbatim and not data.strip(ASCII_BLANK):
             data = "\n" if "\n" in data else " "
         self._add_text(data)
 
     def _add_text(self, data):
         self._add_child(data)
-        if self.stack[-1].kept and not self.silent:
-            self.columns.texts.append(data)
+        if (self.everything or self.stack[-1].node is not None) and not self.silent:
+            self.texts.append(data)
 
 
 def _read_page(columns, html, within, attrs):
@@ -260,8 +325,7 @@ def _read_page(columns, html, within, attrs):
     if ok:
         try:
             reader = _PageReader(columns, within, attrs)
-            reader.feed(html)
-            reader.finish()
+            reader.read(html)
         except Exception:  # markup the parser rejects: the page fails, the job goes on
             columns.cut_back()
             ok = False
@@ -279,7 +343,12 @@ def html_nodes(pages: DataFrame, within=None, attrs=None) -> DataFrame:
             T.StructField("parse_ok", T.BooleanType(), False),
         ]
     )
-    within = None if within is None else tuple(within)
+    if within is not None:
+        within = (
+            frozenset(w for w in within if w[0] not in "#."),
+            frozenset(w[1:] for w in within if w[0] == "#"),
+            frozenset(w[1:] for w in within if w[0] == "."),
+        )
     attrs = None if attrs is None else frozenset(attrs)
 
     def parse(batches):

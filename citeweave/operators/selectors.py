@@ -29,14 +29,18 @@ def tag(name):
 
 def has_class(*names):
     """One of the names is one of the element's classes."""
-    if len(names) == 1:
-        return lambda n: F.array_contains(n["classes"], names[0])
-    return lambda n: F.arrays_overlap(n["classes"], F.array(*map(F.lit, names)))
+    return lambda n: reduce(
+        lambda a, b: a | b, [F.contains(n["class_raw"], F.lit(f" {name} ")) for name in names]
+    )
 
 
 def class_is(*values):
     """The whole class attribute is one of the values."""
-    return lambda n: n["class_raw"].isin(*values)
+    return lambda n: n["class_raw"].isin(*[f" {value} " for value in values])
+
+
+def classes(node: Column) -> Column:
+    return F.split(F.btrim(node["class_raw"]), " ")
 
 
 def has_id(value):

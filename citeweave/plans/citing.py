@@ -24,7 +24,7 @@ from ..operators.selectors import (
     word_text,
 )
 from ..schemas import CITING_EDGES
-from ..session import materialise
+from ..session import materialise, per_session
 from .matching import cited_by_anchor, heading_of, result_blocks
 
 
@@ -49,28 +49,33 @@ def _citing(block):
     )
 
 
-def listing_records(pages: DataFrame) -> DataFrame:
-    """`record`: `results` and `links` (to sibling pages) of a listing page, `ok` and `links_ok`."""
-    parsed = html_nodes(pages.select("url", "page_id", "html"), within=(".gs_r", "#gs_nml"), attrs=("href",))
+@per_session
+def _found_on_page():
     navigation = first_node(page_nodes(), tag("div"), has_id("gs_nml"))
     links = F.transform(
         all_nodes(inside(page_nodes(), navigation), tag("a"), has_class("gs_nma")),
         lambda a: absolute_url(attr(a, "href")),
     )
-    found = parsed.select(
-        "url",
-        "page_id",
-        "parse_ok",
-        F.coalesce(links, F.array().cast("array<string>")).alias("links"),
-        F.filter(F.transform(result_blocks(page_nodes()), _citing), lambda r: ~r["broken"]).alias("results"),
-    )
+    results = F.filter(F.transform(result_blocks(page_nodes()), _citing), lambda r: ~r["broken"])
+    return [F.coalesce(links, F.array().cast("array<string>")).alias("links"), results.alias("results")]
+
+
+@per_session
+def _listing_record():
     record = F.struct(
         F.col("parse_ok").alias("ok"),
         (~F.exists("links", lambda u: u.isNull())).alias("links_ok"),
         "links",
         F.transform("results", lambda r: r.dropFields("broken")).alias("results"),
     )
-    return found.select("url", "page_id", record.alias("record"))
+    return [record.alias("record")]
+
+
+def listing_records(pages: DataFrame) -> DataFrame:
+    """`record`: `results` and `links` (to sibling pages) of a listing page, `ok` and `links_ok`."""
+    parsed = html_nodes(pages.select("url", "page_id", "html"), within=(".gs_r", "#gs_nml"), attrs=("href",))
+    found = parsed.select("url", "page_id", "parse_ok", *_found_on_page(parsed))
+    return found.select("url", "page_id", *_listing_record(found))
 
 
 def page_set(first_url, links):

@@ -35,6 +35,7 @@ from ..operators.selectors import (
     tight_text,
 )
 from ..schemas import ARTICLE_DETAILS
+from ..session import per_session
 
 ARTICLE_ROOTS = (
     ".gs_scl",
@@ -68,13 +69,10 @@ def _total_citations():
     return text
 
 
-def detail_records(pages: DataFrame) -> DataFrame:
-    """`record`: the fields of an article page, and `ok`: false where the page fails as a whole."""
-    parsed = html_nodes(pages.select("url", "page_id", "html"), within=ARTICLE_ROOTS, attrs=())
-    found = parsed.select(
-        "url",
-        "page_id",
-        "parse_ok",
+@per_session
+def _found_on_page():
+    """One column per field of an article page; the node arrays end here."""
+    return [
         _beside(AUTHOR_LABELS).alias("authors"),
         _in_section(DATE_LABELS, _VALUE).alias("publication_date"),
         _beside(BOOK_LABELS).alias("book"),
@@ -90,7 +88,11 @@ def detail_records(pages: DataFrame) -> DataFrame:
                 tight_text(page_texts(), first_node(inside(page_nodes(), a), tag("span"), has_class("gsc_oci_g_al")))
             ),
         ).alias("counts"),
-    )
+    ]
+
+
+@per_session
+def _detail_record():
     ok = F.col("parse_ok") & ~F.exists("counts", lambda c: c.isNull())
     for field in ("authors", "book", "pages"):
         ok = ok & ~(F.col(f"{field}.labelled") & F.col(f"{field}.value").isNull())
@@ -104,7 +106,14 @@ def detail_records(pages: DataFrame) -> DataFrame:
         "total_citations",
         F.when(F.col("parse_ok"), last_wins(zip_short(F.col("years"), F.col("counts")))).alias("annual_citations"),
     )
-    return found.select("url", "page_id", record.alias("record"))
+    return [record.alias("record")]
+
+
+def detail_records(pages: DataFrame) -> DataFrame:
+    """`record`: the fields of an article page, and `ok`: false where the page fails as a whole."""
+    parsed = html_nodes(pages.select("url", "page_id", "html"), within=ARTICLE_ROOTS, attrs=())
+    found = parsed.select("url", "page_id", "parse_ok", *_found_on_page(parsed))
+    return found.select("url", "page_id", *_detail_record(found))
 
 
 def detail_join(articles: DataFrame, pages: DataFrame, **options) -> DataFrame:

@@ -29,6 +29,7 @@ from ..operators.selectors import (
     with_inside,
 )
 from ..schemas import MATCHES
+from ..session import per_session
 
 
 def result_blocks(nodes):
@@ -86,16 +87,24 @@ def _result(block):
     )
 
 
-def result_records(pages: DataFrame) -> DataFrame:
-    """`record.results`: the search results of a page in document order, each with its match key."""
-    parsed = html_nodes(pages.select("url", "page_id", "html"), within=(".gs_r",), attrs=("href",))
-    found = parsed.select(
-        "url", "page_id", F.transform(result_blocks(page_nodes()), _result).alias("results")
-    )
+@per_session
+def _results():
+    return [F.transform(result_blocks(page_nodes()), _result).alias("results")]
+
+
+@per_session
+def _keyed_results():
     keyed = F.transform(
         "results", lambda r: F.struct(match_key(r["candidate"]).alias("key"), r.alias("result"))
     )
-    return found.select("url", "page_id", F.struct(keyed.alias("results")).alias("record"))
+    return [F.struct(keyed.alias("results")).alias("record")]
+
+
+def result_records(pages: DataFrame) -> DataFrame:
+    """`record.results`: the search results of a page in document order, each with its match key."""
+    parsed = html_nodes(pages.select("url", "page_id", "html"), within=(".gs_r",), attrs=("href",))
+    found = parsed.select("url", "page_id", *_results(parsed))
+    return found.select("url", "page_id", *_keyed_results(found))
 
 
 def choose_result(rows: DataFrame) -> DataFrame:

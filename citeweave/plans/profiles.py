@@ -28,13 +28,12 @@ from ..operators.selectors import (
     with_inside,
 )
 from ..schemas import PROFILE_ARTICLES, PROFILES
-from ..session import materialise
+from ..session import materialise, per_session
 
 
 # -- search pages --------------------------------------------------------------
-def search_records(pages: DataFrame) -> DataFrame:
-    """`record.researcher_url`: link of the first person found on a people-search page."""
-    parsed = html_nodes(pages.select("url", "page_id", "html"), within=(".gs_ai_t",), attrs=("href",))
+@per_session
+def _first_person():
     entries = with_inside(page_nodes(), all_nodes(page_nodes(), has_class("gs_ai_t")))
     headings = F.flatten(
         F.transform(
@@ -46,7 +45,13 @@ def search_records(pages: DataFrame) -> DataFrame:
     href = attr(F.get(anchors, F.lit(0)), "href")
     # A browser reports links of a loaded page in absolute form.
     link = let(href, lambda h: F.when(F.startswith(h, F.lit("/")), absolute_url(h)).otherwise(h))
-    return parsed.select("url", "page_id", F.struct(link.alias("researcher_url")).alias("record"))
+    return [F.struct(link.alias("researcher_url")).alias("record")]
+
+
+def search_records(pages: DataFrame) -> DataFrame:
+    """`record.researcher_url`: link of the first person found on a people-search page."""
+    parsed = html_nodes(pages.select("url", "page_id", "html"), within=(".gs_ai_t",), attrs=("href",))
+    return parsed.select("url", "page_id", *_first_person(parsed))
 
 
 def resolve_profiles(seeds: DataFrame, pages: DataFrame, **options) -> DataFrame:
@@ -124,7 +129,8 @@ def _articles() -> Column:
     )
 
 
-def _found_on_page(parsed: DataFrame) -> DataFrame:
+@per_session
+def _found_on_page():
     """One column per area of a profile page; the node arrays end here."""
     headline = first_node(page_nodes(), tag("div"), has_class("gsc_prf_il"))
     site_box = first_node(page_nodes(), tag("div"), has_id("gsc_prf_ivh"))
@@ -132,10 +138,7 @@ def _found_on_page(parsed: DataFrame) -> DataFrame:
     table = first_node(page_nodes(), tag("table"), has_id("gsc_rsb_st"))
     chart = inside(page_nodes(), first_node(page_nodes(), tag("div"), has_class("gsc_md_hist_b")))
     access = first_node(page_nodes(), tag("div"), has_class("gsc_rsb_m"))
-    return parsed.select(
-        "url",
-        "page_id",
-        "parse_ok",
+    return [
         tight_text(page_texts(), headline).alias("headline"),
         let(
             first_node(inside(page_nodes(), headline), tag("a"), has_class("gsc_prf_ila")),
@@ -163,7 +166,7 @@ def _found_on_page(parsed: DataFrame) -> DataFrame:
             ),
         ).alias("access"),
         _articles().alias("articles"),
-    )
+    ]
 
 
 def _is_position(part):
@@ -191,11 +194,8 @@ def _no_list():
     return F.array().cast("array<string>")
 
 
-def profile_records(pages: DataFrame) -> DataFrame:
-    """`record`: the profile fields of a page, and `ok`: false where the page fails as a whole."""
-    parsed = html_nodes(
-        pages.select("url", "page_id", "html"), within=PROFILE_ROOTS, attrs=("href", "rel")
-    )
+@per_session
+def _profile_record():
     parts = F.transform(F.split("headline", ","), strip)
     total = F.when(F.col("access.present"), _access_count("open") + _access_count("closed"))
     bad_metrics = F.col("metrics.present") & (
@@ -224,7 +224,14 @@ def profile_records(pages: DataFrame) -> DataFrame:
         total.alias("total_access_articles"),
         F.col("articles"),
     )
-    return _found_on_page(parsed).select("url", "page_id", record.alias("record"))
+    return [record.alias("record")]
+
+
+def profile_records(pages: DataFrame) -> DataFrame:
+    """`record`: the profile fields of a page, and `ok`: false where the page fails as a whole."""
+    parsed = html_nodes(pages.select("url", "page_id", "html"), within=PROFILE_ROOTS, attrs=("href", "rel"))
+    found = parsed.select("url", "page_id", "parse_ok", *_found_on_page(parsed))
+    return found.select("url", "page_id", *_profile_record(found))
 
 
 def profile_join(resolved: DataFrame, pages: DataFrame, **options) -> DataFrame:

@@ -67,7 +67,9 @@ CITING_EDGES = _table(
 )
 
 # One element of a parsed page; `id` is its index in the page's array, so the
-# elements inside it are exactly the indexes id+1 .. end.
+# elements inside it are exactly the indexes id+1 .. end. `class_raw` is the class
+# attribute with one blank before, between and after its tokens, so that a class
+# test is one substring search instead of an array per element.
 NODE = T.StructType(
     [
         T.StructField("id", T.IntegerType(), False),
@@ -76,8 +78,7 @@ NODE = T.StructType(
         T.StructField("tag", _S, False),
         T.StructField("elem_id", _S, True),
         T.StructField("class_raw", _S, True),
-        T.StructField("classes", T.ArrayType(_S, False), True),
-        T.StructField("attrs", T.MapType(_S, _S, False), False),
+        T.StructField("attrs", T.MapType(_S, _S, False), True),
         T.StructField("own_string", _S, True),
         T.StructField("text_from", T.IntegerType(), False),
         T.StructField("text_to", T.IntegerType(), False),

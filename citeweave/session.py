@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def build_session(app: str = "citeweave", master: str | None = None, **settings) -> SparkSession:
@@ -14,6 +16,8 @@ def build_session(app: str = "citeweave", master: str | None = None, **settings)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # No Python call site per column: plans here have thousands of small expressions.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -56,3 +60,16 @@ def spread(df: DataFrame) -> DataFrame:
     """Use every core on inputs with fewer splits than cores; large scans pass unchanged."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+class per_session:
+    """Columns built once per session instead of once per query; `columns(df)` returns them."""
+
+    def __init__(self, build: Callable[[], list[Column]]):
+        self.build, self.built = build, WeakKeyDictionary()
+
+    def __call__(self, df: DataFrame) -> list[Column]:
+        session = df.sparkSession
+        if session not in self.built:
+            self.built[session] = self.build()
+        return self.built[session]
