@@ -1,7 +1,8 @@
 """Equi-joins that hold when one key has a large share of the rows.
 
-The left side's key is profiled first (one aggregation over that column, one
-row to the driver). The plan then follows the measured sizes:
+The left side's key is profiled first, and only as far as needed: its rows are counted without
+a shuffle; if they are many, its key hashes are counted too. One row of
+figures goes to the driver, and the plan follows from it:
 
 * no hot key: a plain equi-join;
 * hot keys: their rows are dealt over several parts, and only the right
@@ -11,6 +12,7 @@ row to the driver). The plan then follows the measured sizes:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ MAX_BROADCAST_BYTES = 32 << 20
 
 @dataclass(frozen=True)
 class KeyProfile:
+    """Upper bounds: rows, distinct keys, rows of the hottest key, bytes of the distinct keys."""
+
     rows: int
     keys: int
     hottest: int
@@ -38,15 +42,16 @@ class KeyProfile:
         return max(hot_rows, -(-self.rows // MAX_HOT_KEYS))
 
 
-def profile_keys(df: DataFrame, key: str) -> KeyProfile:
-    per_key = df.groupBy(key).agg(F.count("*").alias("n"))
-    row = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)),
-        F.count("*"),
-        F.coalesce(F.max("n"), F.lit(0)),
-        F.coalesce(F.sum(F.octet_length(F.col(key))), F.lit(0)),
-    ).first()
-    return KeyProfile(*row)
+def profile_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> KeyProfile:
+    length = F.coalesce(F.octet_length(F.col(key)), F.lit(0))
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(length), F.lit(0))).first()
+    all_rows = KeyProfile(rows, rows, rows, size)
+    if rows <= hot_rows and all_rows.fits_broadcast:
+        return all_rows
+    # Eight bytes per key are shuffled, not the keys; partial counts come first.
+    per_key = df.groupBy(F.xxhash64(key).alias("h")).agg(F.count("*").alias("n"), F.max(length).alias("b"))
+    row = per_key.agg(F.count("*"), F.max("n"), F.sum("b")).first()
+    return KeyProfile(rows, *row)
 
 
 def _plain_columns(df):
@@ -81,8 +86,9 @@ class HotKeys:
         """
         if not self.any:
             return left
-        mixed = F.xxhash64(*_plain_columns(left)) + F.spark_partition_id()
-        part = F.pmod(mixed, F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
+        parts = F.coalesce(F.col("_parts"), F.lit(1)).cast("bigint")
+        mixed = F.pmod(F.xxhash64(*_plain_columns(left)), parts) + F.spark_partition_id()
+        part = F.pmod(mixed, parts).cast("int")
         return self._parts(left, self.key).withColumn(self.LEFT_PART, part).drop("_parts")
 
     def repeat(self, right: DataFrame, key: str) -> DataFrame:
@@ -92,9 +98,9 @@ class HotKeys:
         parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
         return self._parts(right, key).withColumn(self.RIGHT_PART, F.explode(parts)).drop("_parts")
 
-    def right_columns(self, key: str) -> list[str]:
-        """What the dealt right side is distinct or grouped by."""
-        return [key, self.RIGHT_PART] if self.any else [key]
+    def right_columns(self) -> list[str]:
+        """What the repeated right side is distinct or grouped by, besides its key."""
+        return [self.RIGHT_PART] if self.any else []
 
     def join(self, left: DataFrame, right: DataFrame, equal, how: str) -> DataFrame:
         """Join sides that went through `deal` and `repeat`."""
@@ -104,6 +110,11 @@ class HotKeys:
         return left.join(right, equal & same_part, how).drop(self.LEFT_PART, self.RIGHT_PART)
 
 
+def _null_safe(key, names):
+    value = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return value.alias(names[0]), F.col(key).isNull().alias(names[1])
+
+
 def hot_join(
     left: DataFrame,
     left_key: str,
@@ -119,9 +130,17 @@ def hot_join(
     `distinct` first reduces the right side to its distinct keys. The two
     sides must not share column names.
     """
-    hot = HotKeys(left, left_key, profile_keys(left, left_key), hot_rows)
+    hot = HotKeys(left, left_key, profile_keys(left, left_key, hot_rows), hot_rows)
     left, right = hot.deal(left), hot.repeat(right, right_key)
+    left_on, right_on = [left_key], [right_key]
+    if null_safe:
+        # The columns `<=>` would be split into: named here, so that the distinct keys and
+        # the join share one shuffle.
+        left_on, right_on = ["_left_key", "_left_null"], ["_right_key", "_right_null"]
+        left = left.select("*", *_null_safe(left_key, left_on))
+        right = right.select("*", *_null_safe(right_key, right_on))
     if distinct:
-        right = right.select(*hot.right_columns(right_key)).distinct()
-    a, b = F.col(left_key), F.col(right_key)
-    return hot.join(left, right, a.eqNullSafe(b) if null_safe else a == b, how)
+        right = right.select(*right_on, *hot.right_columns()).distinct()
+    equal = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in zip(left_on, right_on)])
+    joined = hot.join(left, right, equal, how)
+    return joined.drop("_left_key", "_left_null", "_right_key", "_right_null") if null_safe else joined

@@ -41,7 +41,7 @@ class PageLookup:
 
     def join(self, left: DataFrame, key: str, how: str) -> DataFrame:
         """`left` with a `record` column; `how` is inner or left."""
-        profile = profile_keys(left, key)
+        profile = profile_keys(left, key, self.hot_rows)
         hot = HotKeys(left, key, profile, self.hot_rows)
         records = self._records(left, key, profile).select(
             F.col("url").alias("_url"), "page_id", "record"
@@ -49,7 +49,7 @@ class PageLookup:
         # Copies are reduced map-side first, and the join reuses this shuffle.
         newest = (
             hot.repeat(records.filter("_url IS NOT NULL"), "_url")
-            .groupBy(*hot.right_columns("_url"))
+            .groupBy("_url", *hot.right_columns())
             .agg(F.max_by("record", "page_id").alias("record"))
         )
         return hot.join(hot.deal(left), newest, F.col(key) == F.col("_url"), how).drop("_url")
