@@ -122,7 +122,7 @@ def citing_join(papers: DataFrame, listings: DataFrame, hot_rows: int = HOT_ROWS
         F.col("r.title").alias("cited_article_title"),
         F.col("r.url").alias("cited_article_url"),
         F.col("r.next_url").alias("next_cited_articles_url"),
-    ).select(CITING_EDGES.fieldNames())
+    ).to(CITING_EDGES)
 
 
 def with_citation_link(matches: DataFrame) -> DataFrame:

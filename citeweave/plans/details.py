@@ -121,7 +121,7 @@ def detail_join(articles: DataFrame, pages: DataFrame, **options) -> DataFrame:
     asked = articles.select("title", F.col("url").alias("paper_url"))
     rows = PageLookup(pages, detail_records, "article_pages", **options).join(asked, "paper_url", "inner")
     rows = rows.filter("record.ok").select("title", "paper_url", "record.*")
-    return rows.select(ARTICLE_DETAILS.fieldNames())
+    return rows.to(ARTICLE_DETAILS)
 
 
 def article_details(articles: DataFrame, pages: DataFrame, done: DataFrame | None = None, **options) -> DataFrame:

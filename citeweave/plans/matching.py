@@ -140,7 +140,7 @@ def choose_result(rows: DataFrame) -> DataFrame:
         F.coalesce(F.col("r.authors_with_urls"), no_authors).alias("authors_with_urls"),
         "original_title",
         "original_url",
-    ).select(MATCHES.fieldNames())
+    ).to(MATCHES)
 
 
 def search_join(titles: DataFrame, pages: DataFrame, query_url=title_search_url, **options) -> DataFrame:

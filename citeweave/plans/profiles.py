@@ -238,7 +238,7 @@ def profile_join(resolved: DataFrame, pages: DataFrame, **options) -> DataFrame:
     """Profiles of the resolved names; names without an address or a readable page vanish."""
     rows = PageLookup(pages, profile_records, "profiles", **options).join(resolved, "researcher_url", "inner")
     rows = rows.filter("record.ok").select("name", "researcher_url", "record.*")
-    return rows.select(PROFILES.fieldNames())
+    return rows.to(PROFILES)
 
 
 def profiles(seeds: DataFrame, pages: DataFrame, done: DataFrame | None = None, **options) -> DataFrame:
@@ -251,4 +251,4 @@ def profiles(seeds: DataFrame, pages: DataFrame, done: DataFrame | None = None,
 def explode_articles(found: DataFrame) -> DataFrame:
     """One row per article; a profile without articles keeps one row of NULLs."""
     rows = found.select("*", F.inline_outer("articles")).drop("articles")
-    return rows.select(PROFILE_ARTICLES.fieldNames())
+    return rows.to(PROFILE_ARTICLES)
