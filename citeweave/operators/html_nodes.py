@@ -77,14 +77,40 @@ _PLAIN_CONTENT = {
 }
 
 
-class _Open:
-    """An element whose end has not been seen; `node` is its row, None if it is not kept."""
+class _Wanted:
+    """Which subtrees and attributes of a page are kept; `None` is all of them."""
 
-    __slots__ = ("tag", "node", "number", "children", "sole")
+    NOTHING = ({}, None, None, False)
 
-    def __init__(self, tag, node, number):
-        self.tag, self.node, self.number = tag, node, number
-        self.children, self.sole = 0, None
+    def __init__(self, within=None, attrs=None):
+        self.everything = within is None
+        within = within or ()
+        self.tags = frozenset(w for w in within if w[0] not in "#.")
+        self.ids = frozenset(w[1:] for w in within if w[0] == "#")
+        self.classes = frozenset(w[1:] for w in within if w[0] == ".")
+        self.attrs = None if attrs is None else tuple(attrs)
+        self.known = {}
+
+    def describe(self, attrs):
+        """`(kept attributes, id, padded class attribute, whether the element is wanted)`."""
+        elem_id, tokens = attrs.get("id"), attrs.get("class", "").split()
+        wanted = elem_id in self.ids or not self.classes.isdisjoint(tokens)
+        kept = attrs if self.attrs is None else {name: attrs[name] for name in self.attrs if name in attrs}
+        return kept, elem_id, f" {' '.join(tokens)} " if tokens else None, wanted
+
+    def describe_text(self, text):
+        """The same for a tag's source text; tags repeat, so short texts are remembered."""
+        found = self.known.get(text)
+        if found is None:
+            values = {name.lower(): a or b or c for name, a, b, c in _ATTRS.findall(text)}
+            if "&" in text:
+                values = {name: entities.unescape(value) for name, value in values.items()}
+            found = self.describe(values)
+            if len(text) < 100:
+                if len(self.known) >= 10_000:
+                    self.known.clear()
+                self.known[text] = found
+        return found
 
 
 class _Columns:
@@ -135,13 +161,12 @@ class _PageReader(HTMLParser):
     does not know on, the general parser reads the rest. Both call the same handlers.
     """
 
-    def __init__(self, columns, within, attrs):
+    def __init__(self, columns, wanted):
         super().__init__(convert_charrefs=False)
-        self.nodes, self.texts, self.attrs = columns.nodes, columns.texts, attrs
+        self.nodes, self.texts, self.wanted = columns.nodes, columns.texts, wanted
         self.first_node, self.first_text = len(self.nodes), len(self.texts)
-        self.everything = within is None
-        self.tags, self.ids, self.classes = within or ((), (), frozenset())
-        self.stack = [_Open(None, None, -1)]
+        # Open elements: tag, row (None if not kept), number, children so far, sole string.
+        self.stack = [[None, None, -1, 0, None]]
         self.open_tags = {}
         self.silent = self.verbatim = 0  # open SILENT_TAGS and VERBATIM_TAGS
         self.dropped = -1
@@ -159,8 +184,10 @@ class _PageReader(HTMLParser):
     def _read_plain(self, html):
         """Read markup while it is plain; return where the rest starts."""
         run, at = self.run, 0
+        next_tag, start, end_tag, describe = _TEXT_AND_TAG.match, self._start, self.handle_endtag, self.wanted.describe_text
+        nothing = self.wanted.NOTHING
         while True:
-            token = _TEXT_AND_TAG.match(html, at)
+            token = next_tag(html, at)
             if token is None:
                 token = _OTHER.match(html, at)
                 if token is None:
@@ -179,13 +206,13 @@ class _PageReader(HTMLParser):
             if text:
                 run.append(text)
             if end is not None:
-                self.handle_endtag(end.lower())
+                end_tag(end.lower())
             else:
-                self._start(tag, self._attributes(attrs) if attrs else {}, empty or tag in VOID_TAGS)
+                start(tag, describe(attrs) if attrs else nothing, empty or tag in VOID_TAGS)
                 if content is not None:
                     if content[1]:
                         run.append(content[1])
-                    self.handle_endtag(tag)
+                    end_tag(tag)
                     after = content.end()
             at = after
 
@@ -199,24 +226,18 @@ class _PageReader(HTMLParser):
         else:
             self.run.append(value)
 
-    @staticmethod
-    def _attributes(text):
-        values = {name.lower(): a or b or c for name, a, b, c in _ATTRS.findall(text)}
-        if "&" in text:
-            values = {name: entities.unescape(value) for name, value in values.items()}
-        return values
-
     # -- events of the general parser --------------------------------------------
     def handle_starttag(self, tag, attrs):
-        self._start(tag, {name: value or "" for name, value in attrs}, tag in VOID_TAGS)
+        found = self.wanted.describe({name: value or "" for name, value in attrs})
+        self._start(tag, found, tag in VOID_TAGS)
 
     def handle_startendtag(self, tag, attrs):
-        self._start(tag, {name: value or "" for name, value in attrs}, True)
+        self._start(tag, self.wanted.describe({name: value or "" for name, value in attrs}), True)
 
     def handle_endtag(self, tag):
         if self.run:
             self._end_run()
-        if self.stack[-1].tag == tag:
+        if self.stack[-1][0] == tag:
             self._close()
         elif self.open_tags.get(tag):  # an end tag nothing is open for is ignored
             while self._close() != tag:
@@ -245,36 +266,25 @@ class _PageReader(HTMLParser):
             self._add_child(data)
 
     # -- tree -----------------------------------------------------------------------
-    def _start(self, tag, attrs, empty):
+    def _start(self, tag, found, empty):
         if self.run:
             self._end_run()
         above = self.stack[-1]
-        above.children += 1
-        above.sole = None
-        raw = attrs.get("class")
-        tokens = None if raw is None else raw.split()
-        if (
-            self.everything
-            or above.node is not None
-            or tag in self.tags
-            or attrs.get("id") in self.ids
-            or (tokens and not self.classes.isdisjoint(tokens))
-        ):
+        above[3] += 1
+        above[4] = None
+        wanted = self.wanted
+        attrs, elem_id, class_raw, chosen = found
+        if chosen or above[1] is not None or wanted.everything or tag in wanted.tags:
             number = len(self.nodes) - self.first_node
-            if attrs and self.attrs is not None:
-                kept = {name: attrs[name] for name in self.attrs if name in attrs}
-            else:
-                kept = attrs
             start = len(self.texts) - self.first_text
-            node = [number, number, above.number, tag, attrs.get("id"),
-                    " " + " ".join(tokens) + " " if tokens else None, kept, None, start, start]
+            node = [number, number, above[2], tag, elem_id, class_raw, attrs, None, start, start]
             self.nodes.append(node)
         else:
             node = None
             number = self.dropped = self.dropped - 1
         if empty:
             return
-        self.stack.append(_Open(tag, node, number))
+        self.stack.append([tag, node, number, 0, None])
         self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
         if tag in SILENT_TAGS:
             self.silent += 1
@@ -282,28 +292,27 @@ class _PageReader(HTMLParser):
             self.verbatim += 1
 
     def _close(self):
-        closed = self.stack.pop()
-        tag, node = closed.tag, closed.node
+        tag, node, _, children, sole = self.stack.pop()
         self.open_tags[tag] -= 1
         if tag in SILENT_TAGS:
             self.silent -= 1
         elif tag in VERBATIM_TAGS:
             self.verbatim -= 1
-        above = self.stack[-1]
-        if closed.children == 1:
-            if above.children == 1:
-                above.sole = closed.sole
-            if node is not None:
-                node[7] = closed.sole
         if node is not None:
             node[1] = len(self.nodes) - self.first_node - 1
             node[9] = len(self.texts) - self.first_text
+        if children == 1:
+            above = self.stack[-1]
+            if above[3] == 1:
+                above[4] = sole
+            if node is not None:
+                node[7] = sole
         return tag
 
     def _add_child(self, string):
         above = self.stack[-1]
-        above.children += 1
-        above.sole = string
+        above[3] += 1
+        above[4] = string
 
     def _end_run(self):
         if not self.run:
@@ -316,15 +325,15 @@ class _PageReader(HTMLParser):
 
     def _add_text(self, data):
         self._add_child(data)
-        if (self.everything or self.stack[-1].node is not None) and not self.silent:
+        if (self.wanted.everything or self.stack[-1][1] is not None) and not self.silent:
             self.texts.append(data)
 
 
-def _read_page(columns, html, within, attrs):
+def _read_page(columns, html, wanted):
     ok = html is not None
     if ok:
         try:
-            reader = _PageReader(columns, within, attrs)
+            reader = _PageReader(columns, wanted)
             reader.read(html)
         except Exception:  # markup the parser rejects: the page fails, the job goes on
             columns.cut_back()
@@ -343,21 +352,17 @@ def html_nodes(pages: DataFrame, within=None, attrs=None) -> DataFrame:
             T.StructField("parse_ok", T.BooleanType(), False),
         ]
     )
-    if within is not None:
-        within = (
-            frozenset(w for w in within if w[0] not in "#."),
-            frozenset(w[1:] for w in within if w[0] == "#"),
-            frozenset(w[1:] for w in within if w[0] == "."),
-        )
-    attrs = None if attrs is None else frozenset(attrs)
+    within = None if within is None else tuple(within)
+    attrs = None if attrs is None else tuple(attrs)
 
     def parse(batches):
+        wanted = _Wanted(within, attrs)
         for batch in batches:
             bodies = batch.column("html")
             start, size, columns = 0, 0, _Columns()
             for i in range(batch.num_rows):
                 body = bodies[i].as_py()
-                _read_page(columns, body, within, attrs)
+                _read_page(columns, body, wanted)
                 size += len(body or "")
                 if size >= OUTPUT_BYTES or i + 1 == batch.num_rows:
                     part = batch.slice(start, i + 1 - start)
