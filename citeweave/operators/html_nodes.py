@@ -21,6 +21,7 @@ from __future__ import annotations
 import html as entities
 import re
 import sys
+from functools import reduce
 from html.entities import html5
 from html.parser import HTMLParser
 from itertools import accumulate
@@ -49,14 +50,15 @@ ASCII_BLANK = " \n\t\f\r"
 
 OUTPUT_BYTES = 1 << 20  # HTML characters per Arrow batch handed back to the JVM
 
-
 # Plain markup, read token by token without the general parser.
 _SPACE = r"[ \t\r\n\f]"
-_NAME = r"[a-zA-Z][a-zA-Z0-9]*"
-_ATTR = r"""([a-zA-Z_][a-zA-Z0-9_:.-]*)(?:=(?:"([^"]*)"|'([^']*)'|([^ \t\r\n\f"'=<>`/]+)(?=[ \t\r\n\f>]|\Z)))?"""
-_ATTRS = re.compile(_ATTR)
+_NAME = r"[a-zA-Z][a-zA-Z0-9_:-]*"
+_WORD = r"[a-zA-Z_][a-zA-Z0-9_:.-]*"
+_BARE = r"""[^ \t\r\n\f"'=<>`/]+(?=[ \t\r\n\f>]|\Z)"""
+_ATTR = rf"""{_WORD}(?:=(?:"[^"]*"|'[^']*'|{_BARE}))?"""
+_ATTRS = re.compile(rf"""({_WORD})(?:=(?:"([^"]*)"|'([^']*)'|({_BARE})))?""")
 _TEXT_AND_TAG = re.compile(
-    rf"([^<&]*)<(?:/({_NAME}){_SPACE}*|({_NAME})((?:{_SPACE}+{re.sub('[(](?![?])', '(?:', _ATTR)})*){_SPACE}*(/?))>"
+    rf"([^<&]*)<(?:/({_NAME}){_SPACE}*|({_NAME})((?:{_SPACE}+{_ATTR})*){_SPACE}*(/?))>"
 )
 _OTHER = re.compile(
     r"(?P<text>[^<&]+)"
@@ -68,13 +70,22 @@ _OTHER = re.compile(
 RAW_TAGS = frozenset(
     "iframe noembed noframes noscript plaintext script style textarea title xmp".split()
 )
-_RAW_CONTENT = {
-    tag: re.compile(rf"((?:(?!</{tag}|<!--).)*)</{tag}{_SPACE}*>", re.DOTALL | re.IGNORECASE)
-    for tag in ("script", "style")
-}
-_PLAIN_CONTENT = {
-    tag: re.compile(rf"([^<&]*)</{tag}{_SPACE}*>", re.IGNORECASE) for tag in RAW_TAGS
-}
+_CODE_END = {tag: re.compile(f"</{tag}|<!--", re.IGNORECASE) for tag in ("script", "style")}
+_END_TAG = re.compile(rf"</({_NAME}){_SPACE}*>")
+
+
+def _raw_content(tag, html, at):
+    """`(content, end)` of an element of RAW_TAGS whose content is plain text or code, else None."""
+    if tag in _CODE_END:
+        found = _CODE_END[tag].search(html, at)
+        close = found.start() if found else -1
+    else:
+        close = html.find("<", at)
+    end = _END_TAG.match(html, close) if close >= 0 else None
+    if end is None or end[1].lower() != tag:
+        return None
+    content = html[at:close]
+    return None if "&" in content and tag not in _CODE_END else (content, end.end())
 
 
 class _Wanted:
@@ -200,7 +211,7 @@ class _PageReader(HTMLParser):
             if end is None:
                 tag = tag.lower()
                 if tag in RAW_TAGS and not empty:
-                    content = _RAW_CONTENT.get(tag, _PLAIN_CONTENT[tag]).match(html, after)
+                    content = _raw_content(tag, html, after)
                     if content is None:
                         return at
             if text:
@@ -210,10 +221,10 @@ class _PageReader(HTMLParser):
             else:
                 start(tag, describe(attrs) if attrs else nothing, empty or tag in VOID_TAGS)
                 if content is not None:
-                    if content[1]:
-                        run.append(content[1])
+                    if content[0]:
+                        run.append(content[0])
                     end_tag(tag)
-                    after = content.end()
+                    after = content[1]
             at = after
 
     def _read_other(self, kind, value):
@@ -341,9 +352,26 @@ def _read_page(columns, html, wanted):
     columns.close_page(ok)
 
 
-def html_nodes(pages: DataFrame, within=None, attrs=None) -> DataFrame:
-    """Replace `html` by `nodes`, `texts` and `parse_ok`; all other columns pass through."""
+# Where a class or id may be spelled with character references, or the parser may reject the page.
+_UNSURE = r"""(?i)\b(?:class|id)\s*=+\s*(?:"[^"]*&|'[^']*&|[^"'\s>][^\s>]*&|&)|<!\["""
+
+
+def _signed(html, signs):
+    """The page if its source holds one of `signs`, or cannot be judged by it; else an empty page."""
+    found = reduce(lambda a, b: a | b, [F.contains(html, F.lit(sign)) for sign in signs])
+    return F.when(html.isNull() | found | html.rlike(_UNSURE), html).otherwise(F.lit(""))
+
+
+def html_nodes(pages: DataFrame, within=None, attrs=None, signs=None) -> DataFrame:
+    """Replace `html` by `nodes`, `texts` and `parse_ok`; all other columns pass through.
+
+    Pages that cannot have a wanted element are not sent to the parser: those whose source
+    holds none of `signs`, by default the ids and classes of `within` if it names nothing else.
+    """
     kept = [c for c in pages.columns if c != "html"]
+    if signs is None and within is not None and all(w[0] in "#." for w in within):
+        signs = [w[1:] for w in within]
+    html = _signed(F.col("html"), signs) if signs else F.col("html")
     schema = T.StructType(
         [pages.schema[c] for c in kept]
         + [
@@ -371,4 +399,4 @@ def html_nodes(pages: DataFrame, within=None, attrs=None) -> DataFrame:
                     )
                     start, size, columns = i + 1, 0, _Columns()
 
-    return pages.select(*kept, F.col("html")).mapInArrow(parse, schema)
+    return pages.select(*kept, html.alias("html")).mapInArrow(parse, schema)

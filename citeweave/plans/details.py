@@ -46,6 +46,8 @@ ARTICLE_ROOTS = (
     ".gsc_oci_g_a",
     "a",
 )
+# Without one of these on the page an `a` is of no use either.
+ARTICLE_SIGNS = tuple(root[1:] for root in ARTICLE_ROOTS if root[0] in "#.")
 
 _FIELD = (tag("div"), has_class("gsc_oci_field"))
 _VALUE = (tag("div"), has_class("gsc_oci_value"))
@@ -111,7 +113,9 @@ def _detail_record():
 
 def detail_records(pages: DataFrame) -> DataFrame:
     """`record`: the fields of an article page, and `ok`: false where the page fails as a whole."""
-    parsed = html_nodes(pages.select("url", "page_id", "html"), within=ARTICLE_ROOTS, attrs=())
+    parsed = html_nodes(
+        pages.select("url", "page_id", "html"), within=ARTICLE_ROOTS, attrs=(), signs=ARTICLE_SIGNS
+    )
     found = parsed.select("url", "page_id", "parse_ok", *_found_on_page(parsed))
     return found.select("url", "page_id", *_detail_record(found))
 

@@ -137,3 +137,19 @@ def test_pages_in_many_output_batches(spark, size, monkeypatch):
     ).coalesce(1)
     found = html_nodes(pages).select("page_id", F.element_at("nodes.own_string", -1).alias("own")).collect()
     assert sorted((r.page_id, r.own) for r in found) == [(i, str(i)) for i in range(600)]
+
+
+def test_pages_without_signs_are_not_parsed_but_lose_nothing(spark):
+    """However a class or id is spelled, skipping pages by their source text changes no result."""
+    bodies = [
+        '<p class="want">1</p>', "<p class=want>2</p>", '<p CLASS = "a want b">3</p>', '<p class="wa&#110;t">4</p>',
+        "<p class='x&#32;want'>5</p>", "<p class=&#119;ant>6</p>", '<p id="box">7</p>', '<p id="b&#111;x">8</p>',
+        "<p class=other>9</p>", "", None, "<p>a<![foo[ b</p>", '<a href="?a&b">x</a>', '<p title="want">y</p>',
+        '<p class=="wa&#110;t">z</p>', "<p class=w&#97;nt>", '<p x="1"class="w&#97;nt">q</p>', "<p/class=w&#97;nt>r</p>",
+    ]
+    pages = spark.createDataFrame([(i, "u", b) for i, b in enumerate(bodies)], PAGES)
+    skipped, whole = (
+        html_nodes(pages, within=(".want", "#box"), signs=signs).orderBy("page_id").collect() for signs in (None, ("",))
+    )
+    assert skipped == whole
+    assert sum(bool(r.nodes) for r in whole) >= 11
