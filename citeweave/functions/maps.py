@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """`body(value)` with `value` worked out once per row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def zip_short(keys: Column, values: Column) -> Column:
     """Pairs `(k, v)` by position, as many as the shorter list has."""
     n = F.least(F.size(keys), F.size(values))
@@ -15,12 +20,15 @@ def zip_short(keys: Column, values: Column) -> Column:
 
 
 def last_wins(pairs: Column) -> Column:
-    """Map of `(k, v)` structs; a repeated key keeps its first place and its last value.
+    """Map of `(k, v)` structs, sorted by key; of a repeated key the last value counts.
 
-    Independent of the session's duplicate-key policy.
+    Independent of the session's duplicate-key policy, and n log n however long the page's list is.
     """
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    return F.map_from_arrays(
-        keys,
-        F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"]),
+    # The last pair of each key comes first among its equals.
+    ordered = F.array_sort(
+        F.transform(pairs, lambda p, i: F.struct(p["k"].alias("k"), (-i).alias("n"), p["v"].alias("v")))
+    )
+    lasts = let(
+        ordered, lambda o: F.filter(o, lambda p, i: (i == 0) | (p["k"] != F.get(o, i - 1)["k"]))
     )
+    return F.map_from_entries(F.transform(lasts, lambda p: F.struct(p["k"], p["v"])))

@@ -92,16 +92,12 @@ class HotKeys:
         return self._parts(left, self.key).withColumn(self.LEFT_PART, part).drop("_parts")
 
     def repeat(self, right: DataFrame, key: str) -> DataFrame:
-        """Repeat the right rows of hot keys once per part."""
+        """Repeat the right rows of hot keys once per part; reduce copies before, not after."""
         if not self.any:
             return right
         parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
         return self._parts(right, key).withColumn(self.RIGHT_PART, F.explode(parts)).drop("_parts")
 
-    def right_columns(self) -> list[str]:
-        """What the repeated right side is distinct or grouped by, besides its key."""
-        return [self.RIGHT_PART] if self.any else []
-
     def join(self, left: DataFrame, right: DataFrame, equal, how: str) -> DataFrame:
         """Join sides that went through `deal` and `repeat`."""
         if not self.any:
@@ -131,7 +127,6 @@ def hot_join(
     sides must not share column names.
     """
     hot = HotKeys(left, left_key, profile_keys(left, left_key, hot_rows), hot_rows)
-    left, right = hot.deal(left), hot.repeat(right, right_key)
     left_on, right_on = [left_key], [right_key]
     if null_safe:
         # The columns `<=>` would be split into: named here, so that the distinct keys and
@@ -140,7 +135,8 @@ def hot_join(
         left = left.select("*", *_null_safe(left_key, left_on))
         right = right.select("*", *_null_safe(right_key, right_on))
     if distinct:
-        right = right.select(*right_on, *hot.right_columns()).distinct()
+        right = right.select(*right_on, *([right_key] if hot.any and null_safe else [])).distinct()
+    left, right = hot.deal(left), hot.repeat(right, right_key)
     equal = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in zip(left_on, right_on)])
     joined = hot.join(left, right, equal, how)
     return joined.drop("_left_key", "_left_null", "_right_key", "_right_null") if null_safe else joined

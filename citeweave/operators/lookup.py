@@ -46,10 +46,10 @@ class PageLookup:
         records = self._records(left, key, profile).select(
             F.col("url").alias("_url"), "page_id", "record"
         )
-        # Copies are reduced map-side first, and the join reuses this shuffle.
+        # Copies are reduced map-side first. Without hot keys the join reuses this shuffle; with
+        # them, the one newest page of a hot address is repeated, never its copies.
         newest = (
-            hot.repeat(records.filter("_url IS NOT NULL"), "_url")
-            .groupBy("_url", *hot.right_columns())
-            .agg(F.max_by("record", "page_id").alias("record"))
+            records.filter("_url IS NOT NULL").groupBy("_url").agg(F.max_by("record", "page_id").alias("record"))
         )
-        return hot.join(hot.deal(left), newest, F.col(key) == F.col("_url"), how).drop("_url")
+        equal = F.col(key) == F.col("_url")
+        return hot.join(hot.deal(left), hot.repeat(newest, "_url"), equal, how).drop("_url")

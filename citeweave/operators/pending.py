@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .hot_keys import HOT_ROWS, hot_join
 
 
@@ -22,3 +23,10 @@ def pending(rows: DataFrame, key: str, done: DataFrame | None, done_key: str,
         return rows
     keys = done.select(F.col(done_key).alias("_done"))
     return hot_join(rows, key, keys, "_done", "left_anti", null_safe=True, distinct=True, hot_rows=hot_rows)
+
+
+def pending_once(rows: DataFrame, key: str, done: DataFrame | None, done_key: str,
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
+    """`pending`, worked out once: a job measures its rows, asks for their pages and joins them."""
+    todo = pending(rows, key, done, done_key, hot_rows)
+    return todo if done is None else materialise(todo, "pending")

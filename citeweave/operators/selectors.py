@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.maps import let
 from ..functions.text import strip
 
 
@@ -67,11 +68,6 @@ def both(*tests):
     return lambda n: reduce(lambda a, b: a & b, [t(n) for t in tests])
 
 
-def let(value: Column, body) -> Column:
-    """`body(value)` with `value` worked out once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 # -- navigation ----------------------------------------------------------------
 def all_nodes(nodes: Column, *tests) -> Column:
     return F.filter(nodes, both(*tests))

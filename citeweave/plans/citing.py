@@ -9,7 +9,7 @@ from ..functions.text import absolute_url
 from ..operators.hot_keys import HOT_ROWS, hot_join
 from ..operators.html_nodes import html_nodes
 from ..operators.lookup import PageLookup
-from ..operators.pending import pending
+from ..operators.pending import pending_once
 from ..operators.selectors import (
     all_nodes,
     attr,
@@ -134,7 +134,7 @@ def citing_edges(
 ) -> DataFrame:
     """Edges of the papers that `done` does not hold yet and that have a cited-by link."""
     papers = with_citation_link(matches.select("original_title", "url", "cited_articles_url"))
-    papers = pending(papers, "original_title", done, "original_paper_title", hot_rows)
+    papers = pending_once(papers, "original_title", done, "original_paper_title", hot_rows)
     lookup = PageLookup(pages, listing_records, "listing_pages", hot_rows=hot_rows, reuse=True)
     firsts = materialise(first_pages(papers, lookup), "first_pages")
     siblings = materialise(sibling_pages(firsts, lookup), "sibling_pages")

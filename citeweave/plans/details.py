@@ -18,7 +18,7 @@ from ..functions.maps import last_wins, zip_short
 from ..functions.text import whole_number
 from ..operators.html_nodes import html_nodes
 from ..operators.lookup import PageLookup
-from ..operators.pending import pending
+from ..operators.pending import pending_once
 from ..operators.selectors import (
     all_nodes,
     first_node,
@@ -130,5 +130,5 @@ def detail_join(articles: DataFrame, pages: DataFrame, **options) -> DataFrame:
 
 def article_details(articles: DataFrame, pages: DataFrame, done: DataFrame | None = None, **options) -> DataFrame:
     """Details of the articles whose title `done` does not hold yet."""
-    todo = pending(articles.select("title", "url"), "title", done, "title", **options)
+    todo = pending_once(articles.select("title", "url"), "title", done, "title", **options)
     return detail_join(todo, pages, **options)

@@ -10,7 +10,7 @@ from ..functions.maps import last_wins
 from ..functions.text import absolute_url, candidate_title, collapse, match_key, strip, title_search_url
 from ..operators.html_nodes import html_nodes
 from ..operators.lookup import PageLookup
-from ..operators.pending import pending
+from ..operators.pending import pending_once
 from ..operators.selectors import (
     all_nodes,
     attr,
@@ -166,5 +166,5 @@ def match_titles(
     `done_key="matched_title"` compares with the titles found instead of the ones asked for:
     unmatched titles are then asked again on every run.
     """
-    todo = pending(details.select("title", "paper_url"), "title", done, done_key, **options)
+    todo = pending_once(details.select("title", "paper_url"), "title", done, done_key, **options)
     return choose_result(search_join(todo, pages, query_url, **options))

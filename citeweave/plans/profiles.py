@@ -10,7 +10,7 @@ from ..functions.maps import last_wins, zip_short
 from ..functions.text import absolute_url, collapse, contains_any, people_search_url, strip, whole_number
 from ..operators.html_nodes import html_nodes
 from ..operators.lookup import PageLookup
-from ..operators.pending import pending
+from ..operators.pending import pending_once
 from ..operators.selectors import (
     all_nodes,
     attr,
@@ -243,7 +243,7 @@ def profile_join(resolved: DataFrame, pages: DataFrame, **options) -> DataFrame:
 
 def profiles(seeds: DataFrame, pages: DataFrame, done: DataFrame | None = None, **options) -> DataFrame:
     """Profiles of the seeds that `done` does not hold yet."""
-    todo = pending(seeds.select("name"), "name", done, "name", **options)
+    todo = pending_once(seeds.select("name"), "name", done, "name", **options)
     resolved = materialise(resolve_profiles(todo, pages, **options), "resolved")
     return profile_join(resolved, pages, **options)
 

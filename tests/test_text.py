@@ -69,4 +69,9 @@ def test_maps(spark):
     )
     found = [dict(r[0]) for r in df.select(last_wins(zip_short(F.col("k"), F.col("v")))).collect()]
     assert found == [{"a": "3", "b": "2"}, {"a": "1"}, {}, {"a": None}]
-    assert list(found[0]) == ["a", "b"]
+
+
+def test_last_wins_on_a_long_list(spark):
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(99_999)), lambda i: F.struct((i % 50_000).alias("k"), i.alias("v")))
+    (found,) = spark.range(1).select(last_wins(pairs).alias("m")).collect()
+    assert found.m == {k: k + 50_000 for k in range(50_000)}
