@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import PEOPLE_SEARCH, PY_SPACE, SITE, TITLE_SEARCH
+from .maps import let
 
 _SPACE_RUN = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in PY_SPACE) + "]+"
 
@@ -34,17 +37,22 @@ def plain_marks(text: Column) -> Column:
 
 def unquote(text: Column) -> Column:
     """Drop one enclosing pair of double quotes, or else of single quotes."""
-    enclosed = F.lit(False)
-    for mark in ('"', "'"):
-        enclosed = enclosed | (F.startswith(text, F.lit(mark)) & F.endswith(text, F.lit(mark)))
-    # A lone quote mark is its own pair and leaves nothing.
-    inner = F.substring(text, F.lit(2), F.greatest(F.length(text) - 2, F.lit(0)))
-    return F.when(enclosed, inner).otherwise(text)
+
+    def enclosed(t, mark):
+        return F.startswith(t, F.lit(mark)) & F.endswith(t, F.lit(mark))
+
+    def inner(t):
+        # A lone quote mark is its own pair and leaves nothing.
+        return F.substring(t, F.lit(2), F.greatest(F.length(t) - 2, F.lit(0)))
+
+    return let(text, lambda t: F.when(enclosed(t, '"') | enclosed(t, "'"), inner(t)).otherwise(t))
 
 
 def normalize_text(text: Column) -> Column:
-    # java_method turns NULL into an error or "null" on some types: keep NULL as NULL.
-    return F.when(text.isNotNull(), unquote(plain_marks(nfkd(F.coalesce(text, F.lit(""))))))
+    # The ICU call takes no NULL: it is kept apart. Every step works its argument out once.
+    return let(
+        text, lambda t: F.when(t.isNotNull(), unquote(plain_marks(nfkd(F.coalesce(t, F.lit(""))))))
+    )
 
 
 def candidate_title(heading: Column) -> Column:
@@ -75,13 +83,12 @@ def absolute_url(href: Column) -> Column:
 
 def whole_number(text: Column) -> Column:
     """BIGINT of a text that is a whole number and nothing else, else NULL."""
-    digits = F.when(text.rlike("^[+-]?[0-9]+(_[0-9]+)*$"), F.replace(text, F.lit("_"), F.lit("")))
+    digits = let(
+        text, lambda t: F.when(t.rlike("^[+-]?[0-9]+(_[0-9]+)*$"), F.replace(t, F.lit("_"), F.lit("")))
+    )
     return digits.try_cast("bigint")
 
 
 def contains_any(text: Column, words) -> Column:
     """Whether the lower-cased text contains one of the words as a substring."""
-    found = F.lit(False)
-    for word in words:
-        found = found | F.contains(F.lower(text), F.lit(word))
-    return found
+    return let(F.lower(text), lambda t: reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in words]))

@@ -28,23 +28,28 @@ from ..session import materialise, per_session
 from .matching import cited_by_anchor, heading_of, result_blocks
 
 
+def _without_href(anchor):
+    return anchor.isNotNull() & attr(anchor, "href").isNull()
+
+
 def _citing(block):
     """One citing article, and whether one of its links lacks an address."""
     below = block["below"]
-    return let(
-        F.struct(
-            heading_of(below).alias("heading"),
-            first_node(inside(page_nodes(), heading_of(below)), tag("a")).alias("anchor"),
+    parts = let(
+        heading_of(below),
+        lambda heading: F.struct(
+            heading.alias("heading"),
+            first_node(inside(page_nodes(), heading), tag("a")).alias("anchor"),
             cited_by_anchor(below).alias("cited_by"),
         ),
+    )
+    return let(
+        parts,
         lambda r: F.struct(
             word_text(page_texts(), r["heading"]).alias("title"),
             attr(r["anchor"], "href").alias("url"),
             absolute_url(attr(r["cited_by"], "href")).alias("next_url"),
-            (
-                (r["anchor"].isNotNull() & attr(r["anchor"], "href").isNull())
-                | (r["cited_by"].isNotNull() & attr(r["cited_by"], "href").isNull())
-            ).alias("broken"),
+            (_without_href(r["anchor"]) | _without_href(r["cited_by"])).alias("broken"),
         ),
     )
 

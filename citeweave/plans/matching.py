@@ -68,19 +68,22 @@ def _snippet_texts(snippet):
 def _result(block):
     """Fields of one result. Its two abstracts are for an exact match and for a lone result."""
     below = block["below"]
-    plain = F.coalesce(
-        strip(raw_text(page_texts(), first_node(below, tag("div"), has_class("gsh_csp")))),
-        spaced_text(page_texts(), first_node(below, tag("div"), has_class("gs_rs"))),
+    parts = F.struct(
+        heading_of(below).alias("heading"),
+        F.coalesce(
+            strip(raw_text(page_texts(), first_node(below, tag("div"), has_class("gsh_csp")))),
+            spaced_text(page_texts(), first_node(below, tag("div"), has_class("gs_rs"))),
+        ).alias("plain"),
+        first_node(below, tag("div"), has_class("gs_fma_snp")).alias("snippet"),
     )
-    snippet = first_node(below, tag("div"), has_class("gs_fma_snp"))
     return let(
-        heading_of(below),
-        lambda heading: F.struct(
-            candidate_title(raw_text(page_texts(), heading)).alias("candidate"),
-            tight_text(page_texts(), heading).alias("heading"),
-            attr(first_node(inside(page_nodes(), heading), tag("a")), "href").alias("url"),
-            F.coalesce(plain, F.when(snippet.isNotNull(), F.lit(""))).alias("exact_abstract"),
-            F.coalesce(plain, _snippet_texts(snippet)).alias("lone_abstract"),
+        parts,
+        lambda p: F.struct(
+            candidate_title(raw_text(page_texts(), p["heading"])).alias("candidate"),
+            tight_text(page_texts(), p["heading"]).alias("heading"),
+            attr(first_node(inside(page_nodes(), p["heading"]), tag("a")), "href").alias("url"),
+            F.coalesce(p["plain"], F.when(p["snippet"].isNotNull(), F.lit(""))).alias("exact_abstract"),
+            F.coalesce(p["plain"], _snippet_texts(p["snippet"])).alias("lone_abstract"),
             absolute_url(attr(cited_by_anchor(below), "href")).alias("cited_articles_url"),
             _authors(below).alias("authors_with_urls"),
         ),
