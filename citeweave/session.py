@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -26,19 +27,24 @@ def build_session(app: str = "citeweave", master: str | None = None, **settings)
     return builder.getOrCreate()
 
 
+_FALLBACK: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can read, from `spark.checkpoint.dir`.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a session whose tasks run in this process may fall back to a temporary folder of
+    this machine; the setting itself cannot be changed in a running session.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="citeweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _FALLBACK:
+        _FALLBACK[app] = tempfile.mkdtemp(prefix="citeweave-")
+    return _FALLBACK[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

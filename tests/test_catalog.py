@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from citeweave.catalog import ORACLES, QUERIES
 
 from .oracle import differences, duck
 
@@ -15,12 +16,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows(spark, con, name):
-    assert differences(queries()[name](spark, SF), oracle_sql()[name], con) == []
+    assert differences(QUERIES[name](spark, SF), ORACLES[name], con) == []
 
 
 def test_entry(spark):
