@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .near_dups import near_duplicates
 from .quality import quality_cascade
 from .tables import read
 
@@ -16,6 +17,13 @@ def query(function):
     return function
 
 
+@query
+def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read(spark, sf_dir, "documents"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("kept"))
+    return found.select("doc_id", F.col("n_shingles").cast("long"), "component_id", kept.alias("kept"))
+
+
 @query
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
