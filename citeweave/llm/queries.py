@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contamination
 from .near_dups import near_duplicates
 from .quality import quality_cascade
 from .tables import read
@@ -17,6 +18,48 @@ def query(function):
     return function
 
 
+@query
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _, _ = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    ids = F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), "contaminated")
+
+
+ORACLES["op1_winnowing"] = r"""
+WITH cut AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id AS id, text FROM documents
+  UNION ALL
+  SELECT 'b', row_number() OVER (), item_id, text FROM benchmark
+), words AS (
+  SELECT side, r, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM cut
+), sizes AS (
+  SELECT DISTINCT least(len(w), 13) AS n FROM words WHERE side = 'b' AND len(w) > 0
+), item_windows AS (
+  SELECT DISTINCT id AS item_id, n, array_to_string(w[i:i + n - 1], ' ') AS window_text
+  FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM words JOIN sizes ON n = least(len(w), 13) WHERE side = 'b')
+), doc_windows AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS window_text
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, sizes WHERE side = 'd' AND len(w) >= n)
+), hits AS (
+  SELECT r, n, i, item_id FROM doc_windows JOIN item_windows USING (n, window_text)
+), places AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM hits) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT id AS doc_id, len(w)::BIGINT AS n_words,
+  coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN places USING (r) LEFT JOIN items USING (r) WHERE side = 'd'
+"""
+
+
 @query
 def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"))
