@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .decontaminate import contamination
 from .near_dups import near_duplicates
 from .quality import quality_cascade
+from .sharding import assign_shards
 from .tables import read
 
 QUERIES, ORACLES = {}, {}
@@ -67,6 +68,14 @@ def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("n_shingles").cast("long"), "component_id", kept.alias("kept"))
 
 
+@query
+def op4_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = assign_shards(read(spark, sf_dir, "documents"), 40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
