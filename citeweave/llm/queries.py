@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contamination
+from .mixing import count_tokens, mixture
 from .near_dups import near_duplicates
 from .quality import quality_cascade
 from .sharding import assign_shards
@@ -61,6 +62,12 @@ FROM words LEFT JOIN places USING (r) LEFT JOIN items USING (r) WHERE side = 'd'
 """
 
 
+@query
+def op2_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    used, _, _ = mixture(read(spark, sf_dir, "documents"))
+    return count_tokens(used, F.col("doc_id"), F.col("copies")).select("doc_id", "source", "n_tokens", "copies")
+
+
 @query
 def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"))
