@@ -10,6 +10,7 @@ from .mixing import count_tokens, mixture
 from .near_dups import near_duplicates
 from .quality import quality_cascade
 from .sharding import assign_shards
+from .style_tree import extract
 from .tables import read
 
 QUERIES, ORACLES = {}, {}
@@ -137,3 +138,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR (n_dup_lines >= 6 AND 10 * n_dup_lines > 3 * n_lines)) AS kept
 FROM judged
 """
+
+
+@query
+def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract(read(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
