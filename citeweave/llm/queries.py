@@ -12,6 +12,7 @@ from .quality import quality_cascade
 from .sharding import assign_shards
 from .style_tree import extract
 from .tables import read
+from .warc import all_captures, read_captures, write_archive
 
 QUERIES, ORACLES = {}, {}
 
@@ -140,6 +141,26 @@ FROM judged
 """
 
 
+@query
+def op7_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = write_archive(read(spark, sf_dir, "pages"))
+    records = read_captures(archive, all_captures(archive))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op7_capture_index"] = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), shared AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS smallest FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> smallest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> smallest THEN smallest END AS refers_to
+FROM shared
+"""
+
+
 @query
 def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = extract(read(spark, sf_dir, "pages"))
