@@ -9,6 +9,7 @@ from .decontaminate import contamination
 from .mixing import count_tokens, mixture
 from .near_dups import near_duplicates
 from .quality import quality_cascade
+from .scoring import score_documents
 from .sharding import assign_shards
 from .style_tree import extract
 from .tables import read
@@ -161,6 +162,11 @@ FROM shared
 """
 
 
+@query
+def op9_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read(spark, sf_dir, "documents")).drop("_row")
+
+
 @query
 def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = extract(read(spark, sf_dir, "pages"))
