@@ -18,7 +18,7 @@ from .tables import materialise, numbered
 
 VIRTUAL_NODES = 64
 CELL_BITS = 16  # the ring has so many places; an arc is a run of them
-BLOCK_ROWS = 250_000  # rows that are ranked together; a fuller place is dealt over several blocks
+BLOCK_ROWS = 1_000  # rows that are ranked together; a fuller place is dealt over several blocks
 
 
 def ring(shards: int, virtual_nodes: int = VIRTUAL_NODES, bits: int = CELL_BITS) -> list[tuple[int, int]]:
