@@ -22,7 +22,7 @@ from .words import NOT_SPACE, Texts, Words, hash_ranges, mix, slices, windows, w
 
 # Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
-SAMPLE_ROWS = 2_000
+SAMPLE_ROWS, SAMPLE_PARTITIONS = 2_000, 4
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS.encode())] = True
@@ -154,12 +154,19 @@ RULES = (
 
 
 def measure(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[dict]:
-    """Each rule's seconds and rejections on at most `sample_rows` rows; one row per rule comes to the driver."""
-    rules = list(rules)
+    """Each rule's seconds and rejections on at most `sample_rows` rows, taken from the first partitions that have any.
+
+    Only as many partitions are read as are needed; a few figures come to the driver.
+    """
+    rules, most = list(rules), -(-sample_rows // SAMPLE_PARTITIONS)
 
     def run(batches: Iterator[pa.RecordBatch]):
         seconds, rejected, rows = [0.0] * len(rules), [0] * len(rules), 0
         for _, texts in slices(batches, text):
+            texts = Texts(texts.data, texts.bounds[: most - rows + 1])
+            if not len(texts):
+                break
+            texts.data = texts.data[: texts.bounds[-1]]
             rows += len(texts)
             for i, rule in enumerate(rules):
                 begun = time.perf_counter()
@@ -170,9 +177,8 @@ def measure(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text",
                 {"rule": [r.name for r in rules], "seconds": seconds, "rejected": rejected, "rows": [rows] * len(rules)}
             )
 
-    sample = docs.select(text).limit(sample_rows)
-    figures = sample.mapInArrow(run, "rule string, seconds double, rejected long, rows long").collect()
-    return [f.asDict() for f in figures]
+    figures = docs.select(text).mapInArrow(run, "rule string, seconds double, rejected long, rows long")
+    return [f.asDict() for f in figures.take(len(rules) * SAMPLE_PARTITIONS)]
 
 
 def order_rules(rules: Sequence[Rule], figures: list[dict]) -> list[Rule]:
