@@ -13,6 +13,8 @@ from .scoring import score_documents
 from .sharding import assign_shards
 from .style_tree import extract
 from .tables import read
+from .token_files import count_tokens_in_files, list_blocks, write_token_files
+from .training_order import materialise_order, read_back
 from .warc import all_captures, read_captures, write_archive
 
 QUERIES, ORACLES = {}, {}
@@ -142,6 +144,13 @@ FROM judged
 """
 
 
+@query
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = materialise_order(read(spark, sf_dir, "documents"))
+    rows = order.sequences.select("slot", "shard", "place", "first_doc_id", "n_docs", "n_tokens")
+    return rows.join(read_back(order), "slot")
+
+
 @query
 def op7_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = write_archive(read(spark, sf_dir, "pages"))
@@ -162,6 +171,14 @@ FROM shared
 """
 
 
+@query
+def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, manifest = write_token_files(read(spark, sf_dir, "documents"))
+    blocks = list_blocks(spark, folder, manifest.select("file").distinct())
+    counted = count_tokens_in_files(folder, blocks)
+    return counted.join(manifest, ["file", "nth"]).select("doc_id", "nth", "start", "n_tokens")
+
+
 @query
 def op9_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read(spark, sf_dir, "documents")).drop("_row")
