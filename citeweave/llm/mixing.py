@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .tables import materialise
 from .words import NOT_SPACE, slices, word_ranges
 
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 2_000
 SEED = 11
 GRID, PASSES = 32, 5  # the interval of exponents shrinks by GRID in each pass over the source totals
 MAX_BROADCAST_SOURCES = 100_000
