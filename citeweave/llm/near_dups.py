@@ -8,7 +8,8 @@ Work that would grow with the square of a group's size is avoided without losing
 1. documents with equal sets become one node;
 2. in each bucket a node is paired with its predecessor and with the first node, and each node's
    best such pairs are confirmed; this joins most groups by a number of pairs linear in their size;
-3. only buckets that still hold several components are paired out, between components.
+3. only buckets that still hold several components are paired out, between components: nodes that share a
+   rare shingle, and nodes whose common shingles alone would be enough for a link.
 """
 
 from __future__ import annotations
@@ -17,18 +18,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bloom import bit_table, may_hold
 from .components import components
-from .tables import arrow_schema, materialise, numbered
+from .tables import arrow_schema, drop_listed, materialise, numbered
 from .words import NOT_SPACE, Texts, mix, slices, windows, words_of
 
 SHINGLE = 5
 BANDS, BAND_ROWS = 10, 3
 # Of a link at the threshold, the agreeing minhashes are binomial: under 33 of 60 is a 1 in 10^8 chance at 0.85.
 LEAST_AGREEING = 0.55
+RARE_NODES = 32
 
 _rng = np.random.Generator(np.random.PCG64(3))
 _FACTORS = _rng.integers(1, 1 << 63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,12 +80,18 @@ def _minhashes(hashes, bounds, held, n: int) -> np.ndarray:
     return out
 
 
-def table_keys(minhashes: np.ndarray, bands: int, band_rows: int) -> np.ndarray:
-    """Keys of all tables, a row per document: every band of one collection with every band of the other."""
+def half_keys(minhashes: np.ndarray, bands: int, band_rows: int) -> np.ndarray:
+    """Hashes of the bands of both collections, `(documents, 2, bands)`."""
     grouped = minhashes.reshape(len(minhashes), 2, bands, band_rows).astype(np.uint64)
     half = np.zeros(grouped.shape[:3], np.uint64)
     for k in range(band_rows):
         half = mix(half + grouped[..., k] + np.uint64(k + 1))
+    return half
+
+
+def table_keys(minhashes: np.ndarray, bands: int, band_rows: int) -> np.ndarray:
+    """Keys of all tables, a row per document: every band of one collection with every band of the other."""
+    half = half_keys(minhashes, bands, band_rows)
     paired = half[:, 0, :, None] * np.uint64(0x9E3779B97F4A7C15) + half[:, 1, None, :]
     return mix(paired.reshape(len(minhashes), -1) + _TAGS[: bands * bands])
 
@@ -94,9 +102,13 @@ def _fill(values: np.ndarray, held: np.ndarray) -> pa.Array:
     return pa.array(out)
 
 
+def text_hash(text="text"):
+    return F.xxhash64(text)
+
+
 def _signatures(docs: DataFrame, bands: int, band_rows: int, size: int) -> DataFrame:
     n = 2 * bands * band_rows
-    ddl = "_row long, doc_id long, n_shingles long, hi long, lo long, minhashes binary"
+    ddl = "_row long, doc_id long, text_hash long, n_shingles long, hi long, lo long, minhashes binary"
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -112,11 +124,11 @@ def _signatures(docs: DataFrame, bands: int, band_rows: int, size: int) -> DataF
                 [None, pa.py_buffer((np.arange(len(held) + 1) * 4 * n).astype(np.int32)), pa.py_buffer(packed)],
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), _fill(hi, held), _fill(lo, held), blobs],
+                [*batch.columns[:3], pa.array(counts, pa.int64()), _fill(hi, held), _fill(lo, held), blobs],
                 schema=schema,
             )
 
-    return numbered(docs).select("_row", "doc_id", "text").mapInArrow(run, ddl)
+    return numbered(docs).select("_row", "doc_id", text_hash().alias("text_hash"), "text").mapInArrow(run, ddl)
 
 
 def _keys(nodes: DataFrame, bands: int, band_rows: int) -> DataFrame:
@@ -253,6 +265,90 @@ def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     return found.join(wanted.select("hi", "lo", "node"), ["hi", "lo"]).dropDuplicates(["node"]).select("node", F.col("set"))
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold more than one component."""
+    mixed = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    return rows.join(mixed.select("key"), "key", "left_semi")
+
+
+def _shared_shingles(open_rows: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`(cores, pairs)` of the nodes of open buckets.
+
+    A shingle of at most `RARE_NODES` of these nodes is rare. pairs: nodes that share a rare shingle, few for each
+    occurrence of one. cores `(node, core)`: how many of a node's shingles more nodes have; two nodes that
+    share no rare one have no more in common than the smaller core. Nodes that can still be
+    linked share a bucket, so all of them are here.
+    """
+
+    def run(batches):
+        for batch in batches:
+            blobs = [b.as_buffer() for b in batch.column(1)]
+            bounds = np.concatenate([[0], np.cumsum([len(b) // 8 for b in blobs])]).astype(np.int32)
+            values = np.frombuffer(b"".join(blobs), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))], names=["node", "hashes"]
+            )
+
+    nodes = open_rows.select("node", "n_shingles", "component").distinct()
+    lists = sets.join(nodes.select("node"), "node", "left_semi").select("node", "set").mapInArrow(run, "node long, hashes array<long>")
+    each = materialise(lists.select(F.explode("hashes").alias("hash"), "node"), "shingles")
+    counts = each.groupBy("hash").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+    alone = counts.filter("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    rare = counts.filter(F.col("n").between(2, RARE_NODES)).select("hash")
+    rare = materialise(each.join(rare, "hash").join(nodes, "node"), "rare_shingles")
+    few = rare.groupBy("node").agg(F.count("*").alias("few"))
+    gone = F.coalesce("alone", F.lit(0)) + F.coalesce("few", F.lit(0))
+    cores = nodes.join(alone, "node", "left").join(few, "node", "left").select("node", (F.col("n_shingles") - gone).alias("core"))
+    return cores, rare
+
+
+def _with_bands(rows: DataFrame, nodes: DataFrame, bands: int, band_rows: int) -> DataFrame:
+    """Bucket rows with their node's band hashes, and which bands of either collection the bucket's table is made of."""
+    columns = ["key", "node", "n_shingles", "component", "core"]
+    ddl = ", ".join(f"{c} long" for c in columns) + ", one int, two int, ones array<long>, twos array<long>"
+
+    def run(batches):
+        for batch in batches:
+            blobs = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+            key = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            table = np.argmax(table_keys(blobs, bands, band_rows) == key[:, None], axis=1).astype(np.int32)
+            half = half_keys(blobs, bands, band_rows).view(np.int64)
+            cuts = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * bands)
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(half[:, k].ravel())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(table // bands), pa.array(table % bands), *lists], names=[*columns, "one", "two", "ones", "twos"]
+            )
+
+    return rows.join(nodes.select("node", "minhashes"), "node").select(*columns, "minhashes").mapInArrow(run, ddl)
+
+
+def _first_table():
+    """Whether a pair's table is the first they share: then a pair comes up once, not once per table."""
+
+    def first(a, b, at):
+        same = F.zip_with(a, b, lambda x, y: x == y)
+        return F.array_position(same, F.lit(True)) == F.col(at) + 1
+
+    return first(F.col("ones"), F.col("ones_2"), "one") & first(F.col("twos"), F.col("twos_2"), "two")
+
+
+def _across(rows: DataFrame, key: str, percent: int, more=None) -> DataFrame:
+    """Pairs `(a, b)` of nodes of different components that share a key and may be similar enough."""
+    columns = [c for c in ("node", "n_shingles", "component", "core", "ones", "twos") if c in rows.columns]
+    other = rows.select(key, *(F.col(c).alias(f"{c}_2") for c in columns))
+    fits = (F.col("component") < F.col("component_2")) & _sizes_allow("n_shingles", "n_shingles_2", percent)
+    if more is not None:
+        fits = fits & more
+    return rows.join(other, key).filter(fits).select(F.col("node").alias("a"), F.col("node_2").alias("b"))
+
+
+def _linkable(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows whose core could be enough for the smallest set in their bucket: the others are linked with none of it."""
+    least = rows.groupBy("key").agg(F.min("n_shingles").alias("least"))
+    enough = (100 + percent) * F.col("core") >= percent * (F.col("n_shingles") + F.col("least"))
+    return rows.join(least, "key").filter(enough).drop("least")
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = 85,
@@ -260,7 +356,7 @@ def near_duplicates(
     band_rows: int = BAND_ROWS,
     size: int = SHINGLE,
 ) -> DataFrame:
-    """A row per document: `_row`, doc_id, hi, lo (a fingerprint of its set), n_shingles, component_id, kept.
+    """A row per document: `_row`, doc_id, text_hash, n_shingles, component_id, kept.
 
     Documents are linked if their shingle sets have a Jaccard similarity of `percent` hundredths or
     more; component_id is the smallest doc_id of those reachable. One row of each component is kept: the one with
@@ -268,7 +364,7 @@ def near_duplicates(
     and kept. A NULL doc_id counts as larger than any other; a component of such
     rows only has a NULL component_id. Only `doc_id` and `text` are read.
 
-    Two documents at the threshold become candidates with probability 0.9997, more similar
+    Two documents at the threshold become candidates with probability 0.9998, more similar
     ones more surely; every candidate is decided, whatever the size of its group.
     """
     docs = docs.select("doc_id", "text")
@@ -282,15 +378,12 @@ def near_duplicates(
     )
     buckets = materialise(_buckets(_keys(nodes, bands, band_rows)), "buckets")
 
-    width = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"))
-    near = (
-        buckets.filter("before >= 0").select(F.explode(F.array("before", "first")).alias("a"), F.col("node").alias("b"), F.col("n_shingles").alias("n_b"))
-        .filter("a <> b").distinct().join(width, "a").filter(_sizes_allow("n_a", "n_b", percent))
-    )
-    near = _agreeing(near.select("a", "b"), nodes, LEAST_AGREEING)
-    best = near.groupBy("b").agg(
-        F.array(F.max_by("a", F.struct("agreeing", -F.col("a"))), F.min("a")).alias("a")
+    # Per node, of those it follows in some table, the smallest one and the one it follows most often.
+    met = (
+        buckets.filter("before >= 0").select(F.explode(F.array("before", "first")).alias("a"), F.col("node").alias("b"))
+        .filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("times"))
     )
+    best = met.groupBy("b").agg(F.array(F.max_by("a", F.struct("times", -F.col("a"))), F.min("a")).alias("a"))
     best = materialise(best.select(F.explode(F.array_distinct("a")).alias("a"), "b"), "pairs")
 
     paired = buckets.filter("before >= 0").select(F.explode(F.array("node", "before", "first")).alias("node")).distinct()
@@ -302,20 +395,22 @@ def near_duplicates(
     labelled = buckets.select("key", "node", "n_shingles").join(first, "node", "left").select(
         "key", "node", "n_shingles", F.coalesce("component", "node").alias("component")
     )
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    open_rows = materialise(labelled.join(mixed.select("key"), "key", "left_semi"), "open")
-    other = open_rows.select("key", *(F.col(c).alias(f"{c}_2") for c in ("node", "n_shingles", "component")))
-    across = (
-        open_rows.join(other, "key")
-        .filter((F.col("component") < F.col("component_2")) & _sizes_allow("n_shingles", "n_shingles_2", percent))
-        .select(F.col("node").alias("a"), F.col("node_2").alias("b"))
-        .distinct()
-    )
+    open_rows = materialise(_mixed(labelled), "open")
+    if open_rows.limit(1).count():
+        # Runs that a partition's edge has cut were not paired so far.
+        more = open_rows.select("node").distinct().join(sets.select("node"), "node", "left_anti")
+        more = nodes.join(more, "node", "left_semi")
+        if more.limit(1).count():
+            sets = materialise(sets.unionByName(_sets(docs, more, size)), "sets")
+        cores, rare = _shared_shingles(open_rows, sets)
+        open_rows = materialise(_mixed(_linkable(open_rows.join(cores, "node"), percent)), "open")
+        overlap = (100 + percent) * F.least("core", "core_2") >= percent * (F.col("n_shingles") + F.col("n_shingles_2"))
+        open_rows = _with_bands(open_rows, nodes, bands, band_rows)
+        across = _across(open_rows, "key", percent, overlap & _first_table()).unionByName(_across(rare, "hash", percent)).distinct()
+    else:
+        across = open_rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
     left = materialise(_agreeing(across, nodes, LEAST_AGREEING).select("a", "b"), "pairs")
-    more = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    more = nodes.join(more, "node", "left_semi").join(sets.select("node"), "node", "left_anti")
-    later = materialise(sets.unionByName(_sets(docs, more, size)), "sets") if more.limit(1).count() else sets
-    links = _confirmed(left, later, percent).unionByName(first.select(F.col("node").alias("u"), F.col("component").alias("v")))
+    links = _confirmed(left, sets, percent).unionByName(first.select(F.col("node").alias("u"), F.col("component").alias("v")))
     final = components(links)
 
     labels = classes.join(final, "node", "left").select("hi", "lo", "node", "doc_id", F.coalesce("component", "node").alias("component"))
@@ -325,11 +420,35 @@ def near_duplicates(
     labels = labels.select("hi", "lo", "component").join(top, "component").select("hi", "lo", "top")
     empty = F.col("n_shingles") == 0
     return (
-        rows.select("_row", "doc_id", "n_shingles", "hi", "lo")
+        rows.select("_row", "doc_id", "text_hash", "n_shingles", "hi", "lo")
         .join(labels, ["hi", "lo"], "left")
         .select(
-            "_row", "doc_id", "hi", "lo", "n_shingles",
+            "_row", "doc_id", "text_hash", "n_shingles",
             F.when(empty, F.col("doc_id")).otherwise(F.col("top.doc_id")).alias("component_id"),
             (empty | (F.col("_row") == F.col("top._row"))).alias("kept"),
         )
     )
+
+
+def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """`docs` with one row of each group of near duplicates, all columns kept; see `near_duplicates`.
+
+    Rows are told apart by doc_id and text. Of rows equal in both, one is kept if the group keeps one of them.
+    """
+    found = near_duplicates(docs, **options)
+    listed = materialise(
+        found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"), F.sum(F.col("kept").cast("long")).alias("kept"))
+        .filter("kept < rows"),
+        "repeats",
+    )
+    same = {"doc_id": F.col("doc_id"), "text_hash": text_hash()}
+    single = drop_listed(docs, listed, same)
+    again = listed.filter("kept > 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("kept").alias("_kept"))
+    if not again.limit(1).count():
+        return single
+    # Rows with one id and one text, of which some are to stay.
+    packed = docs.select(F.struct(*docs.columns).alias("_document"), "doc_id", text_hash().alias("_text_hash"))
+    packed = packed.join(again, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
+    nth = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.xxhash64("_document")))
+    kept = packed.withColumn("_nth", nth).filter("_nth <= _kept").select("_document.*")
+    return single.unionByName(kept)
