@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bloom import bit_table, may_hold
-from .tables import materialise, numbered
+from .tables import drop_listed, materialise, numbered
 from .words import ALNUM, Words, mix, slices, windows, words_of
 
 SPAN, RUN = 13, 6
@@ -207,3 +207,9 @@ def contamination(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFra
     )
     hit = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     return documents.withColumn("contaminated", hit), spans, held
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """`docs` without contaminated rows, all columns kept; see `contamination`. Rows equal in doc_id and text go together."""
+    listed = contamination(docs, items)[0].filter("contaminated").select("doc_id", "text_hash")
+    return drop_listed(docs, materialise(listed, "contaminated"), {"doc_id": F.col("doc_id"), "text_hash": F.xxhash64("text")})

@@ -10,7 +10,7 @@ from .mixing import count_tokens, mixture
 from .near_dups import near_duplicates
 from .quality import quality_cascade
 from .scoring import score_documents
-from .sharding import assign_shards
+from .sharding import shard_table
 from .style_tree import extract
 from .tables import read
 from .token_files import count_tokens_in_files, list_blocks, write_token_files
@@ -82,10 +82,7 @@ def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = assign_shards(read(spark, sf_dir, "documents"), 40)
-    return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
-    )
+    return shard_table(read(spark, sf_dir, "documents"), 40)
 
 
 @query

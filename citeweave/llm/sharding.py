@@ -67,6 +67,13 @@ def capacities(total: int, shards: int, slack: float = 0.0) -> list[int]:
     return [total // shards + (shard < total % shards) for shard in range(shards)]
 
 
+def shard_table(docs: DataFrame, shards: int) -> DataFrame:
+    """`assign_shards` by rows, as the columns reports use: doc_id, size, text_crc32, law, shard, slot, grown_shard (NULL)."""
+    return assign_shards(docs, shards).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def assign_shards(
     docs: DataFrame,
     shards: int,
