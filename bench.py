@@ -34,7 +34,7 @@ from citeweave.rendering import (
     result_pages,
     table,
 )
-from citeweave.session import build_session, materialise
+from citeweave.session import build_session, materialise, spread
 from citeweave.sources.tables import page_source
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -69,7 +69,7 @@ def main():
     paper = materialise(papers(part), "papers")
 
     queries = {
-        "html_nodes": lambda: html_nodes(page_source(spark, f"{SF_DIR}/pages.parquet")).select(
+        "html_nodes": lambda: html_nodes(spread(page_source(spark, f"{SF_DIR}/pages.parquet"))).select(
             "page_id", F.size("nodes").alias("n")
         ),
         "profile_records": lambda: profile_records(profile),

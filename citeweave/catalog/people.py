@@ -51,6 +51,18 @@ def joined(spark, sf_dir):
     return profile_join(rows, profile_pages(_customers(spark, sf_dir))).select("name", "researcher_url", "h_index")
 
 
+def without_page_id(spark, sf_dir):
+    """Pages without an id, and pages stored three times: the copies that are older or have no id say nothing."""
+    pages = profile_pages(_customers(spark, sf_dir))
+    bare = F.col("page_id") % 5 == 0
+    old = pages.filter(~bare).withColumn("html", F.lit("<p>an older page"))
+    new = pages.withColumn("page_id", F.when(~bare, F.col("page_id") + 1_000_000))
+    older = old.unionByName(old.withColumn("page_id", F.lit(None).cast("bigint")))
+    rows = people(_customers(spark, sf_dir)).select("name", "researcher_url")
+    found = profile_join(rows, new.unionByName(older))
+    return found.select("name", "researcher_url", "h_index")
+
+
 def annual(spark, sf_dir):
     rows = _records(spark, sf_dir).filter("ok").select("url", F.explode("annual_citations").alias("year", "citations"))
     return rows
@@ -98,6 +110,7 @@ def profile_articles_job(spark, sf_dir):
 QUERIES = {
     "resolve_profile": resolved,
     "profile_join": joined,
+    "lookup_without_page_id": without_page_id,
     "position": _field("position"),
     "institution": _field("institution"),
     "institution_href": _field("institution_href"),
@@ -145,6 +158,7 @@ ORACLES = {
     "resolve_profile": f"""SELECT {NAME} AS name,
         CASE WHEN c_mktsegment <> 'BUILDING' THEN {_URL} END AS researcher_url FROM customer""",
     "profile_join": f"SELECT {NAME} AS name, {_URL} AS researcher_url, {_H_INDEX} AS h_index FROM customer WHERE {_FOUND}",
+    "lookup_without_page_id": f"SELECT {NAME} AS name, {_URL} AS researcher_url, {_H_INDEX} AS h_index FROM customer WHERE {_OK}",
     "position": _select(f"{_POSITION} AS position"),
     "institution": _select(f"{_INSTITUTION} AS institution"),
     "institution_href": _select(f"{_HREF} AS institution_href"),

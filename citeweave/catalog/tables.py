@@ -10,7 +10,7 @@ from ..operators.pending import done_keys, pending
 from ..operators.selectors import first_node, page_nodes, page_texts, tag, tight_text
 from ..plans.citing import with_citation_link
 from ..rendering import papers, people, table
-from ..schemas import SEEDS
+from ..schemas import PAGES, SEEDS
 from ..session import new_path
 from ..sources.sinks import append_sink, csv_sink, replace_sink
 from ..sources.tables import page_source, seed_scan, stage_scan, table_or_empty
@@ -151,6 +151,30 @@ def ingest_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def ingest_then_append(spark, sf_dir):
+    """What is appended to a table that a stream has written stays visible, and so does what comes later."""
+    pages = stage_scan(spark, f"{sf_dir}/pages.parquet", PAGES)
+    folder, out, checkpoint = (new_path(spark, n) for n in ("pages", "headlines", "log"))
+    for rest in range(3):
+        part = pages.filter(F.col("page_id") % 3 == rest)
+        if rest == 1:
+            append_sink(_headlines(part), out)
+        else:
+            append_sink(part, folder)
+            ingest(spark, folder, _headlines, out, checkpoint)
+    return stage_scan(spark, out, _headlines(pages).schema)
+
+
+def ingest_in_batches(spark, sf_dir):
+    """Ten files of pages, three at a time: four batches, each saved when it is done."""
+    folder, out, checkpoint = (new_path(spark, n) for n in ("pages", "headlines", "log"))
+    page_source(spark, f"{sf_dir}/pages.parquet").repartition(10, "page_id").write.parquet(folder)
+    ingest(spark, folder, _headlines, out, checkpoint, max_files=3)
+    rows = spark.read.parquet(out).select("*", F.regexp_extract(F.input_file_name(), r"batch-(\d+)-", 1).cast("long").alias("batch"))
+    last = rows.agg(F.max("batch")).first()[0]
+    return rows.select("page_id", "headline", F.lit(last).cast("bigint").alias("last_batch"))
+
+
 QUERIES = {
     "page_source": page_scan,
     "seed_scan": seeds,
@@ -159,6 +183,8 @@ QUERIES = {
     "replace_sink": replace_keeps_old,
     "first_run_table": first_run,
     "ingest_stream": ingest_stream,
+    "ingest_then_append": ingest_then_append,
+    "ingest_in_batches": ingest_in_batches,
     "pending_names": pending_names,
     "pending_articles": pending_articles,
     "pending_titles": pending_titles,
@@ -187,6 +213,8 @@ ORACLES = {
     "replace_sink": "SELECT o_orderkey, o_orderstatus FROM orders",
     "first_run_table": f"SELECT {NAME} AS name FROM customer",
     "ingest_stream": f"SELECT page_id, url, trim({UNESCAPED_H1}) AS headline FROM pages",
+    "ingest_then_append": f"SELECT page_id, url, trim({UNESCAPED_H1}) AS headline FROM pages",
+    "ingest_in_batches": f"SELECT page_id, trim({UNESCAPED_H1}) AS headline, 3::BIGINT AS last_batch FROM pages",
     "pending_names": f"""WITH names AS (SELECT {NAME} AS name FROM customer UNION ALL SELECT NULL),
         done AS (SELECT {NAME} AS done FROM customer WHERE c_acctbal < 0 UNION ALL SELECT NULL)
         SELECT name FROM names WHERE NOT EXISTS (SELECT 1 FROM done WHERE done IS NOT DISTINCT FROM name)""",

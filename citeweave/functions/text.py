@@ -81,6 +81,17 @@ def absolute_url(href: Column) -> Column:
     return F.concat(F.lit(SITE), href)
 
 
+def browser_url(href: Column) -> Column:
+    """The address a browser reports for a link of a loaded search page; NULL stays NULL."""
+    return let(
+        href,
+        lambda h: F.when(F.startswith(h, F.lit("//")), F.concat(F.lit("https:"), h))
+        .when(F.startswith(h, F.lit("/")), absolute_url(h))
+        .when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+        .otherwise(F.concat(F.lit(SITE + "/"), h)),
+    )
+
+
 def whole_number(text: Column) -> Column:
     """BIGINT of a text that is a whole number and nothing else, else NULL."""
     digits = let(

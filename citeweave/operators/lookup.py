@@ -19,21 +19,26 @@ class PageLookup:
     * small: they are broadcast and the other pages are dropped before parsing;
     * large: all pages are parsed, once, and the records are kept for further lookups.
 
-    If an address is stored more than once, its page with the highest `page_id` counts.
+    If an address is stored more than once, its page with the highest `page_id` counts; no `page_id` is
+    lower than any, and among equal ones the page's hash decides, so a run always takes the same page.
     """
 
     def __init__(self, pages: DataFrame, extract, name: str, hot_rows: int = HOT_ROWS,
                  reuse: bool = False):
-        self.pages, self.extract, self.name = pages, extract, name
+        # Which of an address's pages is newest, in place of the id alone.
+        version = F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("page_id"), F.xxhash64("html").alias("hash"))
+        self.pages, self.extract, self.name = pages.withColumn("page_id", version), extract, name
         self.hot_rows, self.reuse = hot_rows, reuse
         self._all = None
 
     def _records(self, left, key, profile):
         if profile.fits_broadcast:
             wanted = left.select(F.col(key).alias("_wanted")).filter("_wanted IS NOT NULL").distinct()
-            return self.extract(
-                self.pages.join(F.broadcast(wanted), F.col("url") == F.col("_wanted"), "left_semi")
-            )
+            found = self.pages.join(F.broadcast(wanted), F.col("url") == F.col("_wanted"), "left_semi")
+            # Older copies are dropped before they are parsed: one short row per wanted address tells the newest.
+            newest = found.groupBy(F.col("url").alias("_wanted")).agg(F.max("page_id").alias("_newest"))
+            same = (F.col("url") == F.col("_wanted")) & (F.col("page_id") == F.col("_newest"))
+            return self.extract(self.pages.join(F.broadcast(newest), same, "left_semi"))
         if self._all is None:
             records = self.extract(self.pages)
             self._all = materialise(records, self.name) if self.reuse else records

@@ -28,5 +28,4 @@ def pending(rows: DataFrame, key: str, done: DataFrame | None, done_key: str,
 def pending_once(rows: DataFrame, key: str, done: DataFrame | None, done_key: str,
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """`pending`, worked out once: a job measures its rows, asks for their pages and joins them."""
-    todo = pending(rows, key, done, done_key, hot_rows)
-    return todo if done is None else materialise(todo, "pending")
+    return materialise(pending(rows, key, done, done_key, hot_rows), "pending")

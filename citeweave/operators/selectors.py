@@ -94,9 +94,12 @@ def next_sibling(nodes: Column, node: Column, *tests) -> Column:
     )
 
 
-def with_inside(nodes: Column, found: Column) -> Column:
-    """Pair every found node with the nodes below it: `(node, below)`."""
-    return F.transform(found, lambda n: F.struct(n.alias("node"), inside(nodes, n).alias("below")))
+def each_inside(nodes: Column, found: Column, fields) -> Column:
+    """`fields(node, below)` of every found node, `below` being the nodes under it.
+
+    One slice lives at a time, however many of the found nodes lie within each other.
+    """
+    return F.transform(found, lambda n: let(inside(nodes, n), lambda below: fields(n, below)))
 
 
 def attr(node: Column, name: str) -> Column:
@@ -142,11 +145,12 @@ def labelled_value(nodes: Column, texts: Column, label_tests, value_tests) -> Co
 
 def labelled_section(nodes: Column, texts: Column, section_tests, label_tests, value_tests, labels) -> Column:
     """Value text of the first section whose label, stripped, is one of `labels`."""
-    sections = F.transform(
-        with_inside(nodes, all_nodes(nodes, *section_tests)),
-        lambda s: F.struct(
-            tight_text(texts, first_node(s["below"], *label_tests)).alias("label"),
-            tight_text(texts, first_node(s["below"], *value_tests)).alias("value"),
+    sections = each_inside(
+        nodes,
+        all_nodes(nodes, *section_tests),
+        lambda _, below: F.struct(
+            tight_text(texts, first_node(below, *label_tests)).alias("label"),
+            tight_text(texts, first_node(below, *value_tests)).alias("value"),
         ),
     )
     return F.get(F.filter(sections, lambda s: s["label"].isin(*labels)), F.lit(0))["value"]

@@ -32,9 +32,8 @@ def _without_href(anchor):
     return anchor.isNotNull() & attr(anchor, "href").isNull()
 
 
-def _citing(block):
+def _citing(below):
     """One citing article, and whether one of its links lacks an address."""
-    below = block["below"]
     parts = let(
         heading_of(below),
         lambda heading: F.struct(
@@ -61,7 +60,7 @@ def _found_on_page():
         all_nodes(inside(page_nodes(), navigation), tag("a"), has_class("gs_nma")),
         lambda a: absolute_url(attr(a, "href")),
     )
-    results = F.filter(F.transform(result_blocks(page_nodes()), _citing), lambda r: ~r["broken"])
+    results = F.filter(result_blocks(page_nodes(), _citing), lambda r: ~r["broken"])
     return [F.coalesce(links, F.array().cast("array<string>")).alias("links"), results.alias("results")]
 
 

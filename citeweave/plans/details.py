@@ -46,8 +46,8 @@ ARTICLE_ROOTS = (
     ".gsc_oci_g_a",
     "a",
 )
-# Without one of these on the page an `a` is of no use either.
-ARTICLE_SIGNS = tuple(root[1:] for root in ARTICLE_ROOTS if root[0] in "#.")
+# Without one of these on the page an `a` or a section is of no use; sections alone are on result pages too.
+ARTICLE_SIGNS = tuple(root[1:] for root in ARTICLE_ROOTS if root[0] in "#." and root != ".gs_scl")
 
 _FIELD = (tag("div"), has_class("gsc_oci_field"))
 _VALUE = (tag("div"), has_class("gsc_oci_value"))

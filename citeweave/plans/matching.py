@@ -15,6 +15,7 @@ from ..operators.selectors import (
     all_nodes,
     attr,
     class_is,
+    each_inside,
     first_node,
     has_class,
     inside,
@@ -26,15 +27,14 @@ from ..operators.selectors import (
     spaced_text,
     tag,
     tight_text,
-    with_inside,
 )
 from ..schemas import MATCHES
 from ..session import per_session
 
 
-def result_blocks(nodes):
-    """Search results of a page in document order, each with the nodes below it."""
-    return with_inside(nodes, all_nodes(nodes, tag("div"), class_is(*RESULT_CLASSES)))
+def result_blocks(nodes, fields):
+    """`fields(below)` of a page's search results in document order, from the nodes below each."""
+    return each_inside(nodes, all_nodes(nodes, tag("div"), class_is(*RESULT_CLASSES)), lambda _, below: fields(below))
 
 
 def heading_of(below):
@@ -65,9 +65,8 @@ def _snippet_texts(snippet):
     return F.array_join(F.filter(texts, lambda t: t != ""), " ")
 
 
-def _result(block):
+def _result(below):
     """Fields of one result. Its two abstracts are for an exact match and for a lone result."""
-    below = block["below"]
     parts = F.struct(
         heading_of(below).alias("heading"),
         F.coalesce(
@@ -92,7 +91,7 @@ def _result(block):
 
 @per_session
 def _results():
-    return [F.transform(result_blocks(page_nodes()), _result).alias("results")]
+    return [result_blocks(page_nodes(), _result).alias("results")]
 
 
 @per_session

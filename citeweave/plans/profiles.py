@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from ..constants import INSTITUTION_WORDS, POSITION_WORDS
 from ..functions.maps import last_wins, zip_short
-from ..functions.text import absolute_url, collapse, contains_any, people_search_url, strip, whole_number
+from ..functions.text import absolute_url, browser_url, collapse, contains_any, people_search_url, strip, whole_number
 from ..operators.html_nodes import html_nodes
 from ..operators.lookup import PageLookup
 from ..operators.pending import pending_once
 from ..operators.selectors import (
     all_nodes,
     attr,
+    each_inside,
     first_node,
     has_class,
     has_id,
@@ -25,7 +26,6 @@ from ..operators.selectors import (
     raw_text,
     tag,
     tight_text,
-    with_inside,
 )
 from ..schemas import PROFILE_ARTICLES, PROFILES
 from ..session import materialise, per_session
@@ -34,17 +34,13 @@ from ..session import materialise, per_session
 # -- search pages --------------------------------------------------------------
 @per_session
 def _first_person():
-    entries = with_inside(page_nodes(), all_nodes(page_nodes(), has_class("gs_ai_t")))
-    headings = F.flatten(
-        F.transform(
-            entries,
-            lambda e: with_inside(page_nodes(), all_nodes(e["below"], tag("h3"), has_class("gs_ai_name"))),
-        )
-    )
-    anchors = F.flatten(F.transform(headings, lambda h: all_nodes(h["below"], tag("a"))))
-    href = attr(F.get(anchors, F.lit(0)), "href")
+    def links(_, below):
+        headings = all_nodes(below, tag("h3"), has_class("gs_ai_name"))
+        return F.flatten(each_inside(page_nodes(), headings, lambda _, under: all_nodes(under, tag("a"))))
+
+    anchors = F.flatten(each_inside(page_nodes(), all_nodes(page_nodes(), has_class("gs_ai_t")), links))
     # A browser reports links of a loaded page in absolute form.
-    link = let(href, lambda h: F.when(F.startswith(h, F.lit("/")), absolute_url(h)).otherwise(h))
+    link = browser_url(attr(F.get(anchors, F.lit(0)), "href"))
     return [F.struct(link.alias("researcher_url")).alias("record")]
 
 
@@ -81,12 +77,12 @@ def _texts_of(found: Column) -> Column:
 def _metrics(table: Column) -> Column:
     """`(label, value)` per row of the table's body; the value column is the first one, all time."""
     body = first_node(inside(page_nodes(), table), tag("tbody"))
-    rows = with_inside(page_nodes(), all_nodes(inside(page_nodes(), body), tag("tr")))
-    return F.transform(
-        rows,
-        lambda r: F.struct(
-            tight_text(page_texts(), first_node(r["below"], tag("td"), has_class("gsc_rsb_sc1"))).alias("label"),
-            tight_text(page_texts(), first_node(r["below"], tag("td"), has_class("gsc_rsb_std"))).alias("value"),
+    return each_inside(
+        page_nodes(),
+        all_nodes(inside(page_nodes(), body), tag("tr")),
+        lambda _, below: F.struct(
+            tight_text(page_texts(), first_node(below, tag("td"), has_class("gsc_rsb_sc1"))).alias("label"),
+            tight_text(page_texts(), first_node(below, tag("td"), has_class("gsc_rsb_std"))).alias("value"),
         ),
     )
 
@@ -107,12 +103,13 @@ def _access_part(box: Column, part_class: str, inner_tag: str) -> Column:
 
 def _articles() -> Column:
     """Article rows; one without title anchor or year cell is left out, the page stays."""
-    rows = F.transform(
-        with_inside(page_nodes(), all_nodes(page_nodes(), tag("tr"), has_class("gsc_a_tr"))),
-        lambda r: F.struct(
-            first_node(r["below"], tag("a"), has_class("gsc_a_at")).alias("anchor"),
+    rows = each_inside(
+        page_nodes(),
+        all_nodes(page_nodes(), tag("tr"), has_class("gsc_a_tr")),
+        lambda _, below: F.struct(
+            first_node(below, tag("a"), has_class("gsc_a_at")).alias("anchor"),
             first_node(
-                inside(page_nodes(), first_node(r["below"], tag("td"), has_class("gsc_a_y"))),
+                inside(page_nodes(), first_node(below, tag("td"), has_class("gsc_a_y"))),
                 tag("span"),
                 has_class("gsc_a_h"),
             ).alias("year"),

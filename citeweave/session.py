@@ -63,7 +63,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core on inputs with fewer splits than cores; large scans pass unchanged."""
+    """Use every core on a small sample table with fewer splits than cores; not for pages in storage."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 

@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import PAGES
-from ..session import spread
 
 _NESTED = (T.MapType, T.ArrayType, T.StructType)
 
 
 def page_source(spark: SparkSession, path: str) -> DataFrame:
     """Stored pages `(page_id, url, html)`; a folder or a file."""
-    return spread(spark.read.schema(PAGES).parquet(path))
+    return spark.read.schema(PAGES).parquet(path)
 
 
 def seed_scan(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
