@@ -84,11 +84,11 @@ def pending_names(spark, sf_dir):
     return pending(_null_row(_names(spark, sf_dir).select("name")), "name", done, "name")
 
 
-def pending_articles(spark, sf_dir):
+def pending_articles(spark, sf_dir, **options):
     """A shared title (part name) is done or pending for all its rows; no NULL is done, so NULL stays."""
     parts = table(spark, sf_dir, "part")
     rows = _null_row(parts.select(F.col("p_name").alias("title"), F.col("p_partkey").alias("id")))
-    return pending(rows, "title", parts.filter("p_size > 48").select(F.col("p_name").alias("title")), "title")
+    return pending(rows, "title", parts.filter("p_size > 48").select(F.col("p_name").alias("title")), "title", **options)
 
 
 def _matches(spark, sf_dir):
@@ -187,6 +187,7 @@ QUERIES = {
     "ingest_in_batches": ingest_in_batches,
     "pending_names": pending_names,
     "pending_articles": pending_articles,
+    "pending_hot_key": lambda spark, sf_dir: pending_articles(spark, sf_dir, hot_rows=2),
     "pending_titles": pending_titles,
     "pending_titles_by_match": pending_titles_by_match,
     "pending_papers": pending_papers,
@@ -231,3 +232,6 @@ ORACLES = {
         CASE WHEN p_type <> 'SMALL' THEN '{SITE}/part/' || p_partkey END AS url FROM part""",
     "citation_link_filter": f"SELECT * FROM ({_PAPERS}) WHERE cited_articles_url IS NOT NULL",
 }
+
+# Titles of more than two rows are dealt out as hot ones: the same rows are pending.
+ORACLES["pending_hot_key"] = ORACLES["pending_articles"]

@@ -19,20 +19,24 @@ class PageLookup:
     * small: they are broadcast and the other pages are dropped before parsing;
     * large: all pages are parsed, once, and the records are kept for further lookups.
 
+    `plan` is "auto" for this choice by size, "broadcast" or "scan" to make it: the rows are the same.
+
     If an address is stored more than once, its page with the highest `page_id` counts; no `page_id` is
     lower than any, and among equal ones the page's hash decides, so a run always takes the same page.
     """
 
     def __init__(self, pages: DataFrame, extract, name: str, hot_rows: int = HOT_ROWS,
-                 reuse: bool = False):
+                 reuse: bool = False, plan: str = "auto"):
+        if plan not in ("auto", "broadcast", "scan"):
+            raise ValueError(f"plan must be auto, broadcast or scan, not {plan!r}")
         # Which of an address's pages is newest, in place of the id alone.
         version = F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("page_id"), F.xxhash64("html").alias("hash"))
         self.pages, self.extract, self.name = pages.withColumn("page_id", version), extract, name
-        self.hot_rows, self.reuse = hot_rows, reuse
+        self.hot_rows, self.reuse, self.plan = hot_rows, reuse, plan
         self._all = None
 
     def _records(self, left, key, profile):
-        if profile.fits_broadcast:
+        if self.plan == "broadcast" or (self.plan == "auto" and profile.fits_broadcast):
             wanted = left.select(F.col(key).alias("_wanted")).filter("_wanted IS NOT NULL").distinct()
             found = self.pages.join(F.broadcast(wanted), F.col("url") == F.col("_wanted"), "left_semi")
             # Older copies are dropped before they are parsed: one short row per wanted address tells the newest.

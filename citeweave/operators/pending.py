@@ -26,6 +26,9 @@ def pending(rows: DataFrame, key: str, done: DataFrame | None, done_key: str,
 
 
 def pending_once(rows: DataFrame, key: str, done: DataFrame | None, done_key: str,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
-    """`pending`, worked out once: a job measures its rows, asks for their pages and joins them."""
+                 hot_rows: int = HOT_ROWS, **_lookup_options) -> DataFrame:
+    """`pending`, worked out once: a job measures its rows, asks for their pages and joins them.
+
+    The jobs pass on their options; those of the page lookup do not matter here.
+    """
     return materialise(pending(rows, key, done, done_key, hot_rows), "pending")

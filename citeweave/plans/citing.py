@@ -134,12 +134,12 @@ def with_citation_link(matches: DataFrame) -> DataFrame:
 
 
 def citing_edges(
-    matches: DataFrame, pages: DataFrame, done: DataFrame | None = None, hot_rows: int = HOT_ROWS
+    matches: DataFrame, pages: DataFrame, done: DataFrame | None = None, hot_rows: int = HOT_ROWS, plan: str = "auto"
 ) -> DataFrame:
-    """Edges of the papers that `done` does not hold yet and that have a cited-by link."""
+    """Edges of the papers that `done` does not hold yet and that have a cited-by link; `plan` as in `PageLookup`."""
     papers = with_citation_link(matches.select("original_title", "url", "cited_articles_url"))
     papers = pending_once(papers, "original_title", done, "original_paper_title", hot_rows)
-    lookup = PageLookup(pages, listing_records, "listing_pages", hot_rows=hot_rows, reuse=True)
+    lookup = PageLookup(pages, listing_records, "listing_pages", hot_rows=hot_rows, reuse=True, plan=plan)
     firsts = materialise(first_pages(papers, lookup), "first_pages")
     siblings = materialise(sibling_pages(firsts, lookup), "sibling_pages")
     return citing_join(papers, complete_listings(firsts, siblings), hot_rows)
