@@ -24,9 +24,15 @@ def collapse(text: Column) -> Column:
 
 
 def nfkd(text: Column) -> Column:
-    """Unicode compatibility decomposition, done in the JVM by the ICU library Spark ships."""
-    return F.java_method(
-        F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), text, F.lit(True)
+    """Unicode compatibility decomposition, done in the JVM by the ICU library Spark ships.
+
+    ASCII text, told by a byte per character, is its own decomposition and spared the call.
+    """
+    return let(
+        text,
+        lambda t: F.when(F.octet_length(t) == F.length(t), t).otherwise(
+            F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), t, F.lit(True))
+        ),
     )
 
 
