@@ -322,14 +322,16 @@ def _with_bands(rows: DataFrame, nodes: DataFrame, bands: int, band_rows: int) -
     return rows.join(nodes.select("node", "minhashes"), "node").select(*columns, "minhashes").mapInArrow(run, ddl)
 
 
-def _first_table():
+def _first_table(bands: int):
     """Whether a pair's table is the first they share: then a pair comes up once, not once per table."""
 
-    def first(a, b, at):
-        same = F.zip_with(a, b, lambda x, y: x == y)
-        return F.array_position(same, F.lit(True)) == F.col(at) + 1
+    def first(one, other):
+        found = F.lit(bands)
+        for k in reversed(range(bands)):
+            found = F.when(F.get(one, F.lit(k)) == F.get(other, F.lit(k)), F.lit(k)).otherwise(found)
+        return found
 
-    return first(F.col("ones"), F.col("ones_2"), "one") & first(F.col("twos"), F.col("twos_2"), "two")
+    return (first("ones", "ones_2") == F.col("one")) & (first("twos", "twos_2") == F.col("two"))
 
 
 def _across(rows: DataFrame, key: str, percent: int, more=None) -> DataFrame:
@@ -405,8 +407,8 @@ def near_duplicates(
         cores, rare = _shared_shingles(open_rows, sets)
         open_rows = materialise(_mixed(_linkable(open_rows.join(cores, "node"), percent)), "open")
         overlap = (100 + percent) * F.least("core", "core_2") >= percent * (F.col("n_shingles") + F.col("n_shingles_2"))
-        open_rows = _with_bands(open_rows, nodes, bands, band_rows)
-        across = _across(open_rows, "key", percent, overlap & _first_table()).unionByName(_across(rare, "hash", percent)).distinct()
+        open_rows = materialise(_with_bands(open_rows, nodes, bands, band_rows), "open")
+        across = _across(open_rows, "key", percent, overlap & _first_table(bands)).unionByName(_across(rare, "hash", percent)).distinct()
     else:
         across = open_rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
     left = materialise(_agreeing(across, nodes, LEAST_AGREEING).select("a", "b"), "pairs")
