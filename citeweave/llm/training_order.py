@@ -27,6 +27,7 @@ from .tables import materialise, packed
 LENGTH = 1024  # ids of a sequence
 PER_SHARD = 4_096  # sequences of a file: 8 MB
 ROUNDS = 4
+MAX_BROADCAST_TASKS = 1_000_000
 WIDTH = 2  # bytes of an id, little-endian
 
 
@@ -38,18 +39,25 @@ def feistel(number: Column, side: int, key: int, rounds: int = ROUNDS) -> Column
     return left * side + right
 
 
-def permuted(rows: DataFrame, number: str, total: int, key: int) -> DataFrame:
-    """`rows` with `slot`: a permutation of 0 to `total` - 1.
+def permuted(numbers: DataFrame, number: str, total: int, key: int) -> Column:
+    """The slot of a number as an expression: a permutation of 0 to `total` - 1.
 
     A value that falls outside is permuted again until it lies inside: as the network is a permutation, no two walks
-    meet. About two in the root of `total` fall outside, so a few stored steps do.
+    meet. About two in the root of `total` fall outside at first. How many steps the longest walk takes is found out
+    on `numbers` alone, a narrow stored table, so that whatever belongs to them moves only once, to its slot.
     """
     side = math.isqrt(total - 1) + 1
-    walked = materialise(rows.withColumn("slot", feistel(F.col(number), side, key)), "walk")
-    while walked.filter(F.col("slot") >= total).limit(1).count():
-        again = F.when(F.col("slot") < total, F.col("slot")).otherwise(feistel(F.col("slot"), side, key))
-        walked = materialise(walked.withColumn("slot", again), "walk")
-    return walked
+    outside = materialise(numbers.select(feistel(F.col(number), side, key).alias("slot")).filter(F.col("slot") >= total), "walk")
+    steps = 0
+    while outside.limit(1).count():
+        steps += 1
+        outside = materialise(outside.select(feistel(F.col("slot"), side, key).alias("slot")).filter(F.col("slot") >= total), "walk")
+    first = feistel(F.col(number), side, key)
+    if not steps:
+        return first
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(steps)), first, lambda slot, _: F.when(slot < total, slot).otherwise(feistel(slot, side, key))
+    )
 
 
 def _sequences(docs: DataFrame, length: int, vocabulary: str) -> DataFrame:
@@ -154,9 +162,9 @@ def materialise_order(
     parts = made.groupBy("part").agg(F.count("*").alias("n"))
     parts = materialise(parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), "n"), "parts")
     total = parts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    number = (F.col("offset") + F.col("nth")).alias("number")
-    slots = permuted(made.select("part", "nth").join(parts, "part").select("part", "nth", number), "number", max(total, 1), key)
-    placed = made.join(slots.select("part", "nth", "slot"), ["part", "nth"])
+    few = parts.limit(MAX_BROADCAST_TASKS + 1).count() <= MAX_BROADCAST_TASKS
+    numbered = made.join(F.broadcast(parts) if few else parts, "part").withColumn("number", F.col("offset") + F.col("nth"))
+    placed = numbered.withColumn("slot", permuted(numbered.select("number"), "number", max(total, 1), key))
     placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long"))
     return Order(folder, materialise(_write_shards(placed, folder, per_shard), "order"), total, length, per_shard)
 

@@ -58,11 +58,14 @@ def test_empty_and_clashing(spark):
 
 @pytest.mark.parametrize("total", (1, 2, 3, 17, 64, 1000))
 def test_permutation(spark, total):
-    rows = permuted(spark.range(total), "id", total, 5)
-    slots = [r.slot for r in rows.orderBy("id").collect()]
+    def slots_of(key):
+        numbers = spark.range(total)
+        return [r.slot for r in numbers.select("id", permuted(numbers, "id", total, key).alias("slot")).orderBy("id").collect()]
+
+    slots = slots_of(5)
     assert sorted(slots) == list(range(total))
     if total == 1000:
-        other = [r.slot for r in permuted(spark.range(total), "id", total, 6).orderBy("id").collect()]
+        other = slots_of(6)
         assert slots != other and sum(abs(a - b) > 1 for a, b in zip(slots, slots[1:])) > 950
 
 
