@@ -145,7 +145,8 @@ FROM judged
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = materialise_order(read(spark, sf_dir, "documents"))
     rows = order.sequences.select("slot", "shard", "place", "first_doc_id", "n_docs", "n_tokens")
-    return rows.join(read_back(order), "slot")
+    # A row per sequence on both sides: never a broadcast, however short the list of files behind one looks.
+    return rows.join(read_back(order).hint("merge"), "slot")
 
 
 @query
