@@ -15,7 +15,7 @@ INLINE = frozenset(
     " strike strong sub sup time tt u var wbr".split()
 )
 NEVER_TEXT = frozenset(
-    "aside audio button canvas datalist dialog embed footer form head iframe map menu nav noembed noframes noscript object"
+    "aside audio button canvas datalist dialog embed footer head iframe map menu nav noembed noframes noscript object"
     " script select style svg template textarea title video xmp".split()
 )
 CLOSES = {
@@ -27,7 +27,8 @@ ENDS_PARAGRAPH = frozenset(
     " menu nav ol p pre section table ul".split()
 )
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
-# Words in classes, ids and roles of what surrounds an article.
+# Words in classes, ids and roles of what surrounds an article. They drop no element that is or holds an article,
+# a main or most of the page's words, whatever its name; a form is treated like an element of such a name.
 SURROUNDINGS = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments complementary consent"
     " contentinfo cookie cookies copyright dialog disclaimer disqus feedback foot footer form gdpr header legal login masthead menu"
@@ -39,12 +40,14 @@ SURROUNDINGS = frozenset(
 _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?][^>]*>)", re.S
 )
-_NAMING = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
-DROPPED, ARTICLE, HEADER = 1, 2, 4
+DROPPED, ARTICLE, HEADER, IN_ARTICLE, NAMED = 1, 2, 4, 8, 16
+NUMBER = 8  # the bits above tell the page's outermost articles and mains apart
+LEAST_BODY = 50  # words that an element named as surroundings has at least to count as the body beside an article
 _names: dict[tuple[int, str], int] = {}
 
 
@@ -68,6 +71,7 @@ class Element:
     tag: str
     path: int
     flags: int
+    named: tuple[int, ...] = ()
     children: list[str] = field(default_factory=list)
 
 
@@ -79,23 +83,53 @@ class Page:
     styles: list[tuple[int, tuple[int, ...], str]] = field(default_factory=list)
 
 
-def _looks(attributes: str) -> tuple[str, bool]:
-    """What a style path names an element by, and whether it is hidden or named as surroundings."""
-    key, apart = "", False
-    for name, value in _NAMING.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
-            apart = True
-        elif name in ("class", "id", "role"):
-            words = _WORD.findall(_CAMEL.sub(r"\1 \2", value).lower())
-            key += f" {name}={' '.join(words)}"
-            apart = apart or not SURROUNDINGS.isdisjoint(words)
-    return key, apart
+def words_in(text: str) -> int:
+    """Of a block's text, whose white space is single spaces."""
+    return text.count(" ") + 1
 
 
-def read_page(source: str) -> Page:
+def _looks(attributes: str) -> tuple[str, bool, list[str]]:
+    """What a style path names an element by, whether it is hidden, and the words of its names."""
+    key, hidden, named = "", False, []
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name in ("class", "id", "role"):
+            words = _WORD.findall(_CAMEL.sub(r"\1 \2", value.strip("\"'")).lower())
+            key += f" {name}={' '.join(words)}"
+            named += words
+        elif name in ("hidden", "aria-hidden", "style"):
+            value = value.strip("\"'")
+            hidden = hidden or name == "hidden" or (name == "style" and bool(_HIDDEN.search(value)))
+            hidden = hidden or (name == "aria-hidden" and value.lower() == "true")
+    return key, hidden, named
+
+
+def _spare(page: Page, chains: list[tuple[int, ...]], holds: set[int], inside: set[int]) -> None:
+    """Leaves out blocks in elements named as surroundings, and marks those of elements whose name is not enough.
+
+    chains: the named elements each block is in; holds: which of them are or hold an article or main; inside: which stand in one.
+    """
+    words, marked, total, all_marked = {}, {}, 0, 0
+    for (_, flags, text), chain in zip(page.blocks, chains):
+        n = words_in(text)
+        total += n
+        all_marked += bool(flags & ARTICLE)
+        for e in chain:
+            words[e] = words.get(e, 0) + n
+            marked[e] = marked.get(e, 0) + bool(flags & ARTICLE)
+    spared = {
+        e for e, n in words.items()
+        if e in holds or (2 * n > total and (e in inside or n >= LEAST_BODY or marked[e] == all_marked))
+    }
+    page.blocks = [
+        (paths, flags | NAMED if chain else flags, text) for (paths, flags, text), chain in zip(page.blocks, chains) if spared.issuperset(chain)
+    ]
+
+
+def read_page(source: str, inline_names: bool = True) -> Page:
     """Blocks in page order; text of dropped elements is left out, their place in the style tree is kept."""
     page, parts = Page(), []
+    chains, holds, inside, n_named, n_articles, skipped = [], set(), set(), 0, 0, 0
     root = Element("", 0, 0)
     stack = [root]
 
@@ -106,6 +140,7 @@ def read_page(source: str) -> Page:
             top = stack[-1]
             if text and not top.flags & DROPPED:
                 page.blocks.append((tuple(e.path for e in stack[1:]), top.flags, text))
+                chains.append(top.named)
 
     def close(depth):
         while len(stack) > depth:
@@ -113,19 +148,32 @@ def read_page(source: str) -> Page:
             page.styles.append((element.path, tuple(e.path for e in stack[1:]), " ".join(element.children)))
 
     def open_(tag, attributes):
+        nonlocal n_named, n_articles
         parent = stack[-1]
-        key, apart = _looks(attributes) if attributes else ("", False)
-        flags = parent.flags
-        if tag == "article" or tag == "main":
-            flags |= ARTICLE
-        if tag in NEVER_TEXT or (apart and tag not in ("html", "body", "main")):
+        key, hidden, words = _looks(attributes) if attributes else ("", False, ())
+        flags, named = parent.flags, parent.named
+        if tag in NEVER_TEXT or (hidden and tag not in ("html", "body", "main")):
             flags |= DROPPED
+        if tag == "form" or (words and tag not in ("html", "body", "main") and not SURROUNDINGS.isdisjoint(words)):
+            n_named += 1
+            named += (n_named,)
+            if flags & ARTICLE:
+                inside.add(n_named)
+        if tag == "article" or tag == "main":
+            # An article within another one is a comment on it.
+            if not flags & DROPPED and (tag == "main" or not flags & IN_ARTICLE):
+                holds.update(named)
+            if not flags & ARTICLE:
+                n_articles += 1
+                flags |= ARTICLE | n_articles << NUMBER
+            if tag == "article":
+                flags |= IN_ARTICLE
         if tag == "header":
             flags |= HEADER if flags & ARTICLE else DROPPED
         elif tag in HEADINGS:
             flags &= ~HEADER  # a heading may stand in the article's own header; its byline is no text of it
         parent.children.append(tag)
-        stack.append(Element(tag, _named(parent.path, tag + key), flags))
+        stack.append(Element(tag, _named(parent.path, tag + key), flags, named))
 
     at, end = 0, len(source)
     while at < end:
@@ -156,10 +204,19 @@ def read_page(source: str) -> Page:
             attributes = match[3]
             if tag == "br":
                 parts.append(" ")
-            elif attributes and not attributes.isspace() and tag != "a" and _looks(attributes)[1]:
-                # Inline surroundings, such as a hidden label: skip to its end.
-                closing = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
-                at = closing.end() if closing else at
+            elif attributes and not attributes.isspace() and tag != "a":
+                _, hidden, words = _looks(attributes)
+                named = inline_names and bool(words) and SURROUNDINGS.issuperset(words)
+                if hidden or named:
+                    # Inline surroundings, such as a hidden label: skip to its end. No other word may be in the name.
+                    closing = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                    if closing and not hidden:
+                        over = source[at : closing.start()]
+                        if any(m[2] and m[2].lower() not in INLINE for m in _TAG.finditer(over)):
+                            continue
+                        if not stack[-1].flags & DROPPED:
+                            skipped = max(skipped, len(html.unescape(_TAG.sub("", over)).split()))
+                    at = closing.end() if closing else at
             continue
         flush()
         if tag in VOID:
@@ -176,4 +233,8 @@ def read_page(source: str) -> Page:
             close(len(stack) - 1)
     flush()
     close(1)
+    if skipped > sum(words_in(text) for _, _, text in page.blocks):
+        return read_page(source, False)
+    if n_named:
+        _spare(page, chains, holds, inside)
     return page

@@ -128,3 +128,25 @@ def test_whole_table_against_a_plain_reading(spark):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks]
         assert r.text == "\n\n".join(b for b in blocks if b), r.page_id
         assert r.url == source[r.page_id].url and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ("<div class='layout has-sidebar'><article><p>a story</p></article></div><nav>menu</nav>", "a story"),
+        ("<div class='no-comments'><p>all there is</p></div>", "all there is"),
+        ("<article class='post category-legal'><h1>T</h1><p>x</article>", "T\n\nx"),
+        ("<article class='social search'>x</article><article class='related'>y</article>", "x\n\ny"),
+        ("<article><h1>T</h1><div class='social-body'><p>the story in full</div></article>", "T\n\nthe story in full"),
+        ("<body><form action=/x><div><article><p>a story</article></div></form>", "a story"),
+        ("<body><form action=/x><div><p>a story</div></form>", "a story"),
+        ("<article data-title='Hidden costs'><p data-hidden='false'>x<p data-class=ad>y</article>", "x\n\ny"),
+        ("<article><p>one <span class='search-hit'>word</span> more</p></article>", "one word more"),
+        ("<p><span class=share>most of the words</span> here", "most of the words here"),
+        ("<article><p>x</article><div class=ad>an advert of more words</div>", "x"),
+        ("<div class='layout has-sidebar'><article>x</article><div class=sidebar>y</div></div>", "x"),
+        ("<article><p>x y<div class=share-bar hidden><p>a b c d</div></article>", "x y"),
+    ],
+)
+def test_a_name_alone_drops_no_article(source, want):
+    assert text(source) == want
