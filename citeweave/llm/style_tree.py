@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dom import ARTICLE, HEADER, Page, read_page, text_name
+from .dom import ARTICLE, HEADER, NUMBER, Page, read_page, text_name, words_in
 from .tables import materialise
 
 DECAY = 0.7  # how much less each level below counts for a branch
@@ -40,40 +40,49 @@ def _pages(batches: Iterator[pa.RecordBatch], html: int):
             yield batch, i, read_page(batch.column(html)[i].as_py() or "")
 
 
+def content_name(page: Page) -> int:
+    """Equal for copies: a name of the texts of the page's one article if that is most of the page, else of all its texts."""
+    inside = [b for b in page.blocks if b[1] & ARTICLE]
+    if len({b[1] >> NUMBER for b in inside}) != 1 or 2 * sum(words_in(b[2]) for b in inside) < sum(words_in(b[2]) for b in page.blocks):
+        inside = page.blocks
+    return text_name("\n".join(sorted({b[2] for b in inside})))
+
+
 def _observations(pages: DataFrame) -> DataFrame:
     """What each page shows of its host's tree: looks and texts of nodes, and the place of each node once per task."""
-    ddl = "host long, path long, kind int, value long, above array<long>"
+    ddl = "host long, path long, kind int, value long, above array<long>, page long"
 
     def run(batches):
-        placed, out = set(), ([], [], [], [], [])
+        placed, out = set(), ([], [], [], [], [], [])
 
         def put(*row):
             for column, value in zip(out, row):
                 column.append(value)
 
         def batch():
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
-            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["host", "path", "kind", "value", "above"])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64())
+            names = ["host", "path", "kind", "value", "above", "page"]
+            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
             for column in out:
                 column.clear()
             return made
 
         for source, i, page in _pages(batches, 1):
             host = source.column(0)[i].as_py()
-            looks, texts = {}, set()
+            looks, texts, name = {}, set(), content_name(page)
             for path, above, children in page.styles:
                 looks.setdefault(path, []).append(children)
                 if (host, path) not in placed:
                     if len(placed) > 200_000:
                         placed.clear()
                     placed.add((host, path))
-                    put(host, path, PLACE, 0, list(above))
+                    put(host, path, PLACE, 0, list(above), name)
             for path, children in looks.items():
-                put(host, path, STYLE, text_name("|".join(children)), None)
+                put(host, path, STYLE, text_name("|".join(children)), None, name)
             for above, _, text in page.blocks:
                 texts.add((above[-1] if above else 0, text_name(text)))
             for path, value in texts:
-                put(host, path, CONTENT, value, None)
+                put(host, path, CONTENT, value, None, name)
             if len(out[0]) > 20_000:
                 yield batch()
         if out[0]:
@@ -82,9 +91,15 @@ def _observations(pages: DataFrame) -> DataFrame:
     return pages.select("host", "html").mapInArrow(run, ddl)
 
 
-def _decisions(seen: DataFrame) -> DataFrame:
-    """`(host, branches, repeated)`: branches of low importance, and names of texts most pages repeat."""
-    counts = seen.filter(F.col("kind") != PLACE).groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c"))
+def _decisions(seen: DataFrame, copies: bool = True) -> DataFrame:
+    """`(host, branches, repeated)`: branches of low importance, and names of texts, with their paths, most pages repeat.
+
+    Without `copies`, what copies of a page show alike counts once.
+    """
+    facts = seen.filter(F.col("kind") != PLACE)
+    if not copies:
+        facts = facts.select("host", "page", "path", "kind", "value").distinct()
+    counts = facts.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c"))
     c = F.col("c").cast("double")
     nodes = counts.groupBy("host", "path", "kind").agg(
         F.sum("c").alias("n"), F.sum(c * F.log(c)).alias("s"), F.max("c").alias("top"), F.max_by("value", F.struct("c", "value")).alias("value")
@@ -111,7 +126,7 @@ def _decisions(seen: DataFrame) -> DataFrame:
     repeated = (
         nodes.filter((F.col("kind") == CONTENT) & (F.col("top") >= REPEATED_PAGES)).join(pages, ["host", "path"])
         .filter(F.col("top") >= F.lit(REPEATED_SHARE) * F.col("pages"))
-        .groupBy("host").agg(F.collect_set("value").alias("repeated"))
+        .groupBy("host").agg(F.collect_set(F.col("value").bitwiseXOR(F.col("path"))).alias("repeated"))
     )
     return branches.join(repeated, "host", "full").select("host", "branches", "repeated")
 
@@ -122,7 +137,7 @@ def main_text(page: Page, branches: frozenset[int] = frozenset(), repeated: froz
     if not kept:
         kept = [b for b in page.blocks if branches.isdisjoint(b[0])]
     if repeated:
-        kept = [b for b in kept if text_name(b[2]) not in repeated]
+        kept = [b for b in kept if text_name(b[2]) ^ (b[0][-1] if b[0] else 0) not in repeated]
     return "\n\n".join(text for _, _, text in kept)
 
 
@@ -130,11 +145,12 @@ def extract(pages: DataFrame) -> DataFrame:
     """`pages` with `text`: the main text of each page, its blocks joined by an empty line; "" if there is none.
 
     A NULL html is an empty page; a NULL or odd url belongs to the host without a name. Repeated
-    pages are pages of their own; a column named text or host is replaced.
+    pages have rows of their own but are evidence once; a column named text or host is replaced.
     """
     columns = [c for c in pages.columns if c not in ("text",)]
     hosts = F.xxhash64(host_of(F.col("url")))
-    decided = materialise(_decisions(materialise(_observations(pages.select(hosts.alias("host"), "html")), "style_seen")), "style_tree")
+    seen = materialise(_observations(pages.select(hosts.alias("host"), "html")), "style_seen")
+    decided = materialise(_decisions(seen, copies=False), "style_tree")
     few = decided.limit(MAX_BROADCAST_HOSTS + 1).count() <= MAX_BROADCAST_HOSTS
     packed = pages.select(hosts.alias("_host"), "html", F.struct(*columns).alias("_page"))
     decided = decided.toDF("_host", "_branches", "_repeated")

@@ -150,3 +150,23 @@ def test_whole_table_against_a_plain_reading(spark):
 )
 def test_a_name_alone_drops_no_article(source, want):
     assert text(source) == want
+
+
+def test_copies_are_evidence_once(spark):
+    story = "".join(f"<p>Part {k} of the one story</p>" for k in range(3))
+    whole = "\n\n".join(f"Part {k} of the one story" for k in range(3))
+    rows = [(i, f"http://a.example/{i}", f"<article>{story}</article>") for i in range(100)]
+    rows += [(i, f"http://a.example/{i}", f"<article><p>Other {i}</p></article>") for i in range(100, 110)]
+    rows += [(i, f"http://b.example/{i}", f"<div><p>Seen {i} times</p></div><article>{story}</article>") for i in range(200, 300)]
+    rows += [(i, f"http://c.example/{i}", f"<div class=c1>{story}</div>") for i in range(300, 400)]
+    rows += [(i, None if i % 2 else "odd", f"<article>{story}</article>") for i in range(400, 500)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[105] == "Other 105" and len(got) == 410
+    assert all(whole in text for i, text in got.items() if not 100 <= i < 110)
+
+
+def test_repeated_texts_go_where_they_repeat(spark):
+    rows = [(i, "http://a.example/x", f"<article><p>Text {i}</p><p>Read more</p></article>") for i in range(40)]
+    rows += [(40, "http://a.example/x", "<article><h2>Read more</h2><p>Text 40</p></article>")]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[3] == "Text 3" and got[40] == "Read more\n\nText 40"
