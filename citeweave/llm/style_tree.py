@@ -4,10 +4,11 @@ The DOMs of a host's pages are merged into one tree: a node is the path of eleme
 names of their classes. How a node's children look and what it says, over the pages, gives its
 importance: an entropy near 1 where every page differs, near 0 where all pages are alike. A branch's
 importance is the mean over its nodes, near ones counting more; unimportant branches are
-removed from each page.
+removed from each page, whether it marks an article or not. A branch that holds most of what is important on a page stays.
 
-Elements that say what they are (menus, footers, forms, adverts, comments) go without statistics, and a page that marks its
-article loses from inside it only single blocks which most pages of the host repeat.
+Elements that say what they are (menus, footers, adverts, comments) go without statistics. An article or main is a sign, and so is a
+name of surroundings on an element too large to drop by it: what stands outside of the page's article needs twice the importance
+unless it is longer than the article, and so does what is inside of such a name.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dom import ARTICLE, HEADER, NUMBER, Page, read_page, text_name, words_in
+from .dom import ARTICLE, HEADER, NAMED, NUMBER, Page, read_page, text_name, words_in
 from .tables import materialise
 
 DECAY = 0.7  # how much less each level below counts for a branch
 LEAST_IMPORTANCE = 0.3
+SIGN = 0.5  # what a sign against a branch leaves of its importance
 LEAST_PAGES = 8  # a tree of fewer pages says nothing about its branches
 REPEATED_SHARE, REPEATED_PAGES = 0.6, 20
 MAX_BROADCAST_HOSTS = 20_000
@@ -92,18 +94,19 @@ def _observations(pages: DataFrame) -> DataFrame:
 
 
 def _decisions(seen: DataFrame, copies: bool = True) -> DataFrame:
-    """`(host, branches, repeated)`: branches of low importance, and names of texts, with their paths, most pages repeat.
+    """`(host, branches, repeated, doubtful, important)` of each host.
 
-    Without `copies`, what copies of a page show alike counts once.
+    branches: those of low importance; repeated: names of texts, with their paths, most pages repeat; doubtful: branches that a sign
+    against them makes low; important: those with text of their own that stay even so. Without `copies`, what copies of a
+    page show alike counts once.
     """
     facts = seen.filter(F.col("kind") != PLACE)
     if not copies:
         facts = facts.select("host", "page", "path", "kind", "value").distinct()
     counts = facts.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c"))
+    counts = materialise(counts, "style_counts")
     c = F.col("c").cast("double")
-    nodes = counts.groupBy("host", "path", "kind").agg(
-        F.sum("c").alias("n"), F.sum(c * F.log(c)).alias("s"), F.max("c").alias("top"), F.max_by("value", F.struct("c", "value")).alias("value")
-    )
+    nodes = counts.groupBy("host", "path", "kind").agg(F.sum("c").alias("n"), F.sum(c * F.log(c)).alias("s"))
     n = F.col("n").cast("double")
     entropy = F.when(F.col("n") > 1, (F.log(n) - F.col("s") / n) / F.log(n)).otherwise(1.0)
     nodes = materialise(nodes.withColumn("importance", entropy), "style_nodes")
@@ -116,28 +119,66 @@ def _decisions(seen: DataFrame, copies: bool = True) -> DataFrame:
     weighed = content.join(places, ["host", "path"]).select("host", distance, "n", "importance")
     weight = F.pow(F.lit(DECAY), F.col("distance")) * F.col("n")
     looks = nodes.filter(F.col("kind") == STYLE).select("host", F.col("path").alias("branch"), F.col("importance").alias("look"))
+    # A branch with one look on all pages may still say something new on each: it counts by the larger.
+    importance = F.greatest("text", F.col("look") * F.lit(DECAY))
+    listed = {
+        "branches": importance < LEAST_IMPORTANCE,
+        "doubtful": (importance >= LEAST_IMPORTANCE) & (importance * SIGN < LEAST_IMPORTANCE),
+        "important": (importance * SIGN >= LEAST_IMPORTANCE) & F.col("own"),
+    }
     branches = (
-        weighed.groupBy("host", "branch").agg((F.sum(weight * F.col("importance")) / F.sum(weight)).alias("text"))
+        weighed.groupBy("host", "branch")
+        .agg((F.sum(weight * F.col("importance")) / F.sum(weight)).alias("text"), (F.min("distance") == 0).alias("own"))
         .join(looks, ["host", "branch"]).join(pages.withColumnRenamed("path", "branch"), ["host", "branch"])
-        # A branch with one look on all pages may still say something new on each: it counts by the larger.
-        .filter((F.col("pages") >= LEAST_PAGES) & (F.greatest("text", F.col("look") * F.lit(DECAY)) < LEAST_IMPORTANCE))
-        .groupBy("host").agg(F.collect_set("branch").alias("branches"))
+        .filter(F.col("pages") >= LEAST_PAGES)
+        .groupBy("host").agg(*(F.collect_set(F.when(which, F.col("branch"))).alias(name) for name, which in listed.items()))
     )
     repeated = (
-        nodes.filter((F.col("kind") == CONTENT) & (F.col("top") >= REPEATED_PAGES)).join(pages, ["host", "path"])
-        .filter(F.col("top") >= F.lit(REPEATED_SHARE) * F.col("pages"))
+        counts.filter((F.col("kind") == CONTENT) & (F.col("c") >= REPEATED_PAGES)).join(pages, ["host", "path"])
+        .filter(F.col("c") >= F.lit(REPEATED_SHARE) * F.col("pages"))
         .groupBy("host").agg(F.collect_set(F.col("value").bitwiseXOR(F.col("path"))).alias("repeated"))
     )
-    return branches.join(repeated, "host", "full").select("host", "branches", "repeated")
-
-
-def main_text(page: Page, branches: frozenset[int] = frozenset(), repeated: frozenset[int] = frozenset()) -> str:
-    """Blocks of the article if the page marks one that has text, else all blocks outside of unimportant branches."""
-    kept = [b for b in page.blocks if b[1] & ARTICLE and not b[1] & HEADER]
-    if not kept:
-        kept = [b for b in page.blocks if branches.isdisjoint(b[0])]
+    return branches.join(repeated, "host", "full").select("host", "branches", "repeated", "doubtful", "important")
+
+
+def _removed(blocks: list, branches: frozenset[int]) -> frozenset[int]:
+    """The low branches of a page, without those that hold most of the words whose own node is not low."""
+    low, total = {}, 0
+    for paths, _, text in blocks:
+        if paths and paths[-1] in branches:
+            low.setdefault(paths[-1], 0)
+            continue
+        n = words_in(text)
+        total += n
+        for path in set(paths):
+            if path in branches:
+                low[path] = low.get(path, 0) + n
+    return frozenset(path for path, n in low.items() if not n or 2 * n <= total)
+
+
+def main_text(
+    page: Page, branches: frozenset[int] = frozenset(), repeated: frozenset[int] = frozenset(),
+    doubtful: frozenset[int] = frozenset(), important: frozenset[int] = frozenset(),
+) -> str:
+    """Blocks outside of unimportant branches; of those beside an article, the important ones, or all if they are longer than it."""
+    kept = [b for b in page.blocks if not b[1] & HEADER]
+    if not any(b[1] & ARTICLE for b in kept):
+        kept = page.blocks
+    if branches:
+        removed = _removed(kept, branches)
+        kept = [b for b in kept if removed.isdisjoint(b[0]) and not (b[0] and b[0][-1] in branches)]
+    if doubtful:
+        kept = [b for b in kept if not (b[1] & NAMED and b[0] and b[0][-1] in doubtful)]
     if repeated:
         kept = [b for b in kept if text_name(b[2]) ^ (b[0][-1] if b[0] else 0) not in repeated]
+    articles, beside = {}, 0
+    for _, flags, text in kept:
+        if flags & ARTICLE:
+            articles[flags >> NUMBER] = articles.get(flags >> NUMBER, 0) + words_in(text)
+        else:
+            beside += words_in(text)
+    if articles and beside <= max(articles.values()):
+        kept = [b for b in kept if b[1] & ARTICLE or (not b[1] & NAMED and b[0] and b[0][-1] in important)]
     return "\n\n".join(text for _, _, text in kept)
 
 
@@ -153,8 +194,9 @@ def extract(pages: DataFrame) -> DataFrame:
     decided = materialise(_decisions(seen, copies=False), "style_tree")
     few = decided.limit(MAX_BROADCAST_HOSTS + 1).count() <= MAX_BROADCAST_HOSTS
     packed = pages.select(hosts.alias("_host"), "html", F.struct(*columns).alias("_page"))
-    decided = decided.toDF("_host", "_branches", "_repeated")
-    joined = packed.join(F.broadcast(decided) if few else decided, "_host", "left").select("html", "_branches", "_repeated", "_page")
+    lists = ["_branches", "_repeated", "_doubtful", "_important"]
+    decided = decided.toDF("_host", *lists)
+    joined = packed.join(F.broadcast(decided) if few else decided, "_host", "left").select("html", *lists, "_page")
     schema = joined.select("_page").schema.add("text", "string")
 
     def run(batches):
@@ -162,13 +204,13 @@ def extract(pages: DataFrame) -> DataFrame:
         for batch in batches:
             texts = []
             for i in range(batch.num_rows):
-                lists = tuple(batch.column(k)[i].as_py() for k in (1, 2))
-                name = tuple(tuple(x or ()) for x in lists)
+                found = tuple(batch.column(k)[i].as_py() for k in range(1, 1 + len(lists)))
+                name = tuple(tuple(x or ()) for x in found)
                 sets = known.get(name)
                 if sets is None:
                     known.clear()
                     sets = known[name] = tuple(map(frozenset, name))
                 texts.append(main_text(read_page(batch.column(0)[i].as_py() or ""), *sets))
-            yield pa.RecordBatch.from_arrays([batch.column(3), pa.array(texts, pa.string())], names=["_page", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(1 + len(lists)), pa.array(texts, pa.string())], names=["_page", "text"])
 
     return joined.mapInArrow(run, schema).select("_page.*", "text")

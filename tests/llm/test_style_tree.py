@@ -152,6 +152,42 @@ def test_a_name_alone_drops_no_article(source, want):
     assert text(source) == want
 
 
+def words(i, n=30):
+    return " ".join(f"w{i * j % 997}x{j}" for j in range(n))
+
+
+def test_body_beside_teaser_articles(spark):
+    teasers = "".join(f"<article class=card><p>Teaser {k} is the same on all pages</p></article>" for k in range(4))
+    rows = [(i, "http://a.example/x", f"<body>{teasers}<div class=story><p>{words(i)}</p></div></body>") for i in range(1, 31)]
+    # Too few pages for statistics: the body is longer than any teaser.
+    rows += [(i, "http://few.example/x", f"<body>{teasers}<div class=story><p>{words(i)}</p></div></body>") for i in range(40, 43)]
+    # Short bodies beside longer teasers: the tree alone tells.
+    long = "".join(f"<article class=card><p>{words(k, 40)}</p></article>" for k in (5, 6))
+    rows += [(i, "http://b.example/x", f"<body>{long}<div class=story><p>Body {i}</p></div></body>") for i in range(50, 80)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[3] == words(3) and got[41].endswith(words(41)) and got[55] == "Body 55"
+
+
+def test_unnamed_frame_inside_main(spark):
+    frame = "<div class=offers><p>All sections</p><p>Our offers</p></div>"
+    rows = [(i, "http://a.example/x", f"<main>{frame}<div class=story><p>{words(i)}</p></div></main>") for i in range(1, 11)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: words(i) for i in range(1, 11)}
+    # Many texts in one place, each on all pages.
+    frame = "".join(f"<p>Offer {k}</p>" for k in range(40))
+    rows = [(i, "http://a.example/x", f"<main>{frame}<div class=story><p>{words(i)}</p></div></main>") for i in range(1, 41)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: words(i) for i in range(1, 41)}
+
+
+def test_a_heavy_frame_takes_no_article_with_it(spark):
+    frame = "".join(f"<div class={a}{b}><p>Frame {a}{b}</p></div>" for a in "qxyz" for b in "qwxyz")
+    rows = [(i, "http://a.example/x", f"<body>{frame}<article><p>{words(i)}</p></article></body>") for i in range(1, 21)]
+    rows += [(i, "http://b.example/x", f"<body>{frame}<div><p>{words(i)}</p></div></body>") for i in range(30, 50)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(text == words(i) for i, text in got.items())
+
+
 def test_copies_are_evidence_once(spark):
     story = "".join(f"<p>Part {k} of the one story</p>" for k in range(3))
     whole = "\n\n".join(f"Part {k} of the one story" for k in range(3))
