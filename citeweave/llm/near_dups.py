@@ -15,6 +15,7 @@ Work that would grow with the square of a group's size is avoided without losing
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,7 @@ from .words import NOT_SPACE, Texts, mix, slices, windows, words_of
 
 SHINGLE = 5
 BANDS, BAND_ROWS = 10, 3
-# Of a link at the threshold, the agreeing minhashes are binomial: under 33 of 60 is a 1 in 10^8 chance at 0.85.
-LEAST_AGREEING = 0.55
+LEAST_CHANCE = 1e-8  # that a link has fewer agreeing minhashes than are asked for
 RARE_NODES = 32
 
 _rng = np.random.Generator(np.random.PCG64(3))
@@ -194,6 +194,17 @@ def _sizes_allow(a: str, b: str, percent: int):
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
+def least_agreeing(percent: int, n: int) -> float:
+    """The share of `n` minhashes that a link has but for a chance of 10^-8: at the threshold the agreeing ones are binomial."""
+    p, below, k = percent / 100, 0.0, 0
+    while k < n:
+        below += comb(n, k) * p**k * (1 - p) ** (n - k)
+        if below > LEAST_CHANCE:
+            break
+        k += 1
+    return k / n
+
+
 def _agreeing(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """Pairs `(a, b)` of which at least the share `least` of minhashes agrees, with that number."""
     minhashes = nodes.select("node", "minhashes")
@@ -366,7 +377,7 @@ def near_duplicates(
     and kept. A NULL doc_id counts as larger than any other; a component of such
     rows only has a NULL component_id. Only `doc_id` and `text` are read.
 
-    Two documents at the threshold become candidates with probability 0.9998, more similar
+    Two documents at the threshold become candidates with probability 0.9998 (0.9985 for a `percent` of 80), more similar
     ones more surely; every candidate is decided, whatever the size of its group.
     """
     docs = docs.select("doc_id", "text")
@@ -411,7 +422,7 @@ def near_duplicates(
         across = _across(open_rows, "key", percent, overlap & _first_table(bands)).unionByName(_across(rare, "hash", percent)).distinct()
     else:
         across = open_rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    left = materialise(_agreeing(across, nodes, LEAST_AGREEING).select("a", "b"), "pairs")
+    left = materialise(_agreeing(across, nodes, least_agreeing(percent, 2 * bands * band_rows)).select("a", "b"), "pairs")
     links = _confirmed(left, sets, percent).unionByName(first.select(F.col("node").alias("u"), F.col("component").alias("v")))
     final = components(links)
 

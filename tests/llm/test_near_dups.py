@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from citeweave.llm import near_dups
 from citeweave.llm.components import components
 from citeweave.llm.near_dups import near_duplicates, table_keys
 from citeweave.llm.queries import QUERIES
@@ -119,3 +120,8 @@ def test_components(spark, seed):
     got = components(spark.createDataFrame(edges, "u long, v long")).collect()
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert {r.node: r.component for r in got} == {x: root(x) for x in linked} and len(got) == len(linked)
+
+
+def test_agreeing_minhashes_asked_for_follow_the_threshold():
+    assert near_dups.least_agreeing(85, 60) == 0.55  # under 33: 6 in 10^9
+    assert near_dups.least_agreeing(80, 60) == 28 / 60  # under 28: 2 in 10^9, under 33: 3 in 10^6
