@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokens
+from .collocations import collocations
 from .decontaminate import contamination
+from .licences import find_notices
 from .mixing import count_tokens, mixture
 from .near_dups import near_duplicates
 from .quality import quality_cascade
@@ -186,3 +189,59 @@ def op9_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = extract(read(spark, sf_dir, "pages"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_de_bruijn"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), runs AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM words, range(1, 6) AS sizes(size) WHERE len(w) >= size)
+), counted AS (
+  SELECT lang, size, phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE size > 1
+), inside AS (
+  SELECT DISTINCT lang, inner_phrase, size, a FROM (
+    SELECT lang, size, a, unnest([array_to_string(w[1:size - 1], ' '), array_to_string(w[2:size], ' ')]) AS inner_phrase FROM candidates)
+), kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.inner_phrase = c.phrase AND i.size = c.size + 1 AND i.a >= c.a)
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:size], ' ') AS q
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM kept)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, t.n,
+    ((1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = p JOIN counted y ON y.lang = c.lang AND y.phrase = q
+  JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
+@query
+def op12_run_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_notices(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
