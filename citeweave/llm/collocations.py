@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -261,11 +262,14 @@ def run_counts(paths: DataFrame, least: int, longest: int) -> DataFrame:
     """`(run, f)` of the runs of two and more words that occur `least` times, from the flow through the graph."""
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - longest + 1, F.lit(1)))
     edges = paths.select(F.explode(F.transform(starts, lambda i: F.slice("words", i, longest))).alias("run"), "n")
-    edges = edges.groupBy("run").agg(F.sum("n").alias("n"))
-    # A run's flow: all edges that leave it, and all places that end behind it, have it as their first words.
-    sizes = F.sequence(F.lit(2), F.size("run"))
-    flow = edges.select(F.explode(F.transform(sizes, lambda m: F.slice("run", 1, m))).alias("run"), "n")
-    return flow.groupBy("run").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    edges = materialise(edges.groupBy("run").agg(F.sum("n").alias("f")), "edges")
+    counts = [edges.filter(F.size("run") == longest)]
+    for size in range(longest - 1, 1, -1):
+        # What leaves a node: the runs one word longer that begin with it, and the places that end behind it.
+        on = counts[-1].select(F.slice("run", 1, size).alias("run"), "f")
+        flow = on.unionByName(edges.filter(F.size("run") == size)).groupBy("run").agg(F.sum("f").alias("f"))
+        counts.append(materialise(flow, "flow"))
+    return reduce(DataFrame.unionByName, counts).filter(F.col("f") >= least)
 
 
 def _dictionary(surveyed: DataFrame, least: int) -> DataFrame:
