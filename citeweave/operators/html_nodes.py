@@ -356,10 +356,14 @@ def _read_page(columns, html, wanted):
 _UNSURE = r"""(?i)\b(?:class|id)\s*=+\s*(?:"[^"]*&|'[^']*&|[^"'\s>][^\s>]*&|&)|<!\["""
 
 
-def _signed(html, signs):
-    """The page if its source holds one of `signs`, or cannot be judged by it; else an empty page."""
+def may_hold(html, signs):
+    """Whether a page's source holds one of `signs`, or cannot be judged by it; other pages read like an empty one."""
     found = reduce(lambda a, b: a | b, [F.contains(html, F.lit(sign)) for sign in signs])
-    return F.when(html.isNull() | found | html.rlike(_UNSURE), html).otherwise(F.lit(""))
+    return html.isNull() | found | html.rlike(_UNSURE)
+
+
+def _signed(html, signs):
+    return F.when(may_hold(html, signs), html).otherwise(F.lit(""))
 
 
 def html_nodes(pages: DataFrame, within=None, attrs=None, signs=None) -> DataFrame:

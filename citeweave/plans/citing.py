@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import absolute_url
 from ..operators.hot_keys import HOT_ROWS, hot_join
 from ..operators.html_nodes import html_nodes
-from ..operators.lookup import PageLookup
+from ..operators.lookup import page_lookup
 from ..operators.pending import pending_once
 from ..operators.selectors import (
     all_nodes,
@@ -87,14 +87,14 @@ def page_set(first_url, links):
     return F.array_distinct(F.concat(F.array(first_url), links))
 
 
-def first_pages(papers: DataFrame, lookup: PageLookup) -> DataFrame:
+def first_pages(papers: DataFrame, lookup) -> DataFrame:
     """Readable first pages of the papers' listings, one row per address."""
     asked = papers.select(F.col("cited_articles_url").alias("first_url")).distinct()
     rows = lookup.join(asked, "first_url", "inner").filter("record.ok AND record.links_ok")
     return rows.select("first_url", "record.links", "record.results")
 
 
-def sibling_pages(firsts: DataFrame, lookup: PageLookup) -> DataFrame:
+def sibling_pages(firsts: DataFrame, lookup) -> DataFrame:
     """The other pages of each listing; `loaded` is false where a page is missing or unreadable."""
     others = F.slice(page_set(F.col("first_url"), F.col("links")), 2, F.size("links") + 1)
     asked = firsts.select("first_url", F.explode(others).alias("page_url"))
@@ -139,7 +139,7 @@ def citing_edges(
     """Edges of the papers that `done` does not hold yet and that have a cited-by link; `plan` as in `PageLookup`."""
     papers = with_citation_link(matches.select("original_title", "url", "cited_articles_url"))
     papers = pending_once(papers, "original_title", done, "original_paper_title", hot_rows)
-    lookup = PageLookup(pages, listing_records, "listing_pages", hot_rows=hot_rows, reuse=True, plan=plan)
+    lookup = page_lookup(pages, listing_records, "listing_pages", hot_rows=hot_rows, reuse=True, plan=plan)
     firsts = materialise(first_pages(papers, lookup), "first_pages")
     siblings = materialise(sibling_pages(firsts, lookup), "sibling_pages")
     return citing_join(papers, complete_listings(firsts, siblings), hot_rows)

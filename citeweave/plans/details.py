@@ -17,7 +17,7 @@ from ..constants import (
 from ..functions.maps import last_wins, zip_short
 from ..functions.text import whole_number
 from ..operators.html_nodes import html_nodes
-from ..operators.lookup import PageLookup
+from ..operators.lookup import page_lookup
 from ..operators.pending import pending_once
 from ..operators.selectors import (
     all_nodes,
@@ -123,7 +123,7 @@ def detail_records(pages: DataFrame) -> DataFrame:
 def detail_join(articles: DataFrame, pages: DataFrame, **options) -> DataFrame:
     """Details per input row, repeated titles included; rows without a readable page vanish."""
     asked = articles.select("title", F.col("url").alias("paper_url"))
-    rows = PageLookup(pages, detail_records, "article_pages", **options).join(asked, "paper_url", "inner")
+    rows = page_lookup(pages, detail_records, "article_pages", **options).join(asked, "paper_url", "inner")
     rows = rows.filter("record.ok").select("title", "paper_url", "record.*")
     return rows.to(ARTICLE_DETAILS)
 

@@ -9,7 +9,7 @@ from ..constants import CITED_BY_STARTS, RESULT_CLASSES
 from ..functions.maps import last_wins
 from ..functions.text import absolute_url, candidate_title, collapse, match_key, strip, title_search_url
 from ..operators.html_nodes import html_nodes
-from ..operators.lookup import PageLookup
+from ..operators.lookup import page_lookup
 from ..operators.pending import pending_once
 from ..operators.selectors import (
     all_nodes,
@@ -152,7 +152,7 @@ def search_join(titles: DataFrame, pages: DataFrame, query_url=title_search_url,
         F.col("paper_url").alias("original_url"),
         query_url(F.col("title")).alias("query_url"),
     )
-    return PageLookup(pages, result_records, "result_pages", **options).join(asked, "query_url", "left")
+    return page_lookup(pages, result_records, "result_pages", **options).join(asked, "query_url", "left")
 
 
 def match_titles(

@@ -9,7 +9,7 @@ from ..constants import INSTITUTION_WORDS, POSITION_WORDS
 from ..functions.maps import last_wins, zip_short
 from ..functions.text import absolute_url, browser_url, collapse, contains_any, people_search_url, strip, whole_number
 from ..operators.html_nodes import html_nodes
-from ..operators.lookup import PageLookup
+from ..operators.lookup import page_lookup
 from ..operators.pending import pending_once
 from ..operators.selectors import (
     all_nodes,
@@ -53,7 +53,7 @@ def search_records(pages: DataFrame) -> DataFrame:
 def resolve_profiles(seeds: DataFrame, pages: DataFrame, **options) -> DataFrame:
     """`(name, researcher_url)` for every seed; NULL where the search finds nobody."""
     asked = seeds.select("name", people_search_url(F.col("name")).alias("search_url"))
-    found = PageLookup(pages, search_records, "people_search", **options).join(asked, "search_url", "left")
+    found = page_lookup(pages, search_records, "people_search", **options).join(asked, "search_url", "left")
     return found.select("name", F.col("record.researcher_url").alias("researcher_url"))
 
 
@@ -233,7 +233,7 @@ def profile_records(pages: DataFrame) -> DataFrame:
 
 def profile_join(resolved: DataFrame, pages: DataFrame, **options) -> DataFrame:
     """Profiles of the resolved names; names without an address or a readable page vanish."""
-    rows = PageLookup(pages, profile_records, "profiles", **options).join(resolved, "researcher_url", "inner")
+    rows = page_lookup(pages, profile_records, "profiles", **options).join(resolved, "researcher_url", "inner")
     rows = rows.filter("record.ok").select("name", "researcher_url", "record.*")
     return rows.to(PROFILES)
 
