@@ -32,6 +32,7 @@ LEAST = 100
 TOP = 2_000
 SKETCH_BITS = 24  # counters of the table, as a power of two
 SLICE = 4 << 20
+HELD_WORDS = 4 << 20  # words of runs that a task holds before it sends them on
 _BLOCK_BITS = 16  # counters are moved in blocks
 _UNKNOWN = "und"
 
@@ -189,16 +190,18 @@ def runs_of(pieces: Pieces, table: np.ndarray, bits: int, longest: int = LONGEST
     return length
 
 
-def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows of words and their counts."""
-    at = np.arange(len(rows))
+def _distinct(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of words and the sums of their counts."""
     value = np.zeros(len(rows), np.uint64)
     for k in range(rows.shape[1]):
         value += rows[:, k] * _PLACE[k]
-    _, first, back, counts = np.unique(value, return_index=True, return_inverse=True, return_counts=True)
-    if not np.array_equal(rows[first[back]], rows[at]):  # two rows with one hash
-        return np.unique(rows, axis=0, return_counts=True)
-    return rows[first], counts
+    _, first, back = np.unique(value, return_index=True, return_inverse=True)
+    found = rows[first]
+    if not np.array_equal(found[back], rows):  # two rows with one hash
+        found, back = np.unique(rows, axis=0, return_inverse=True)
+    sums = np.zeros(len(found), np.int64)
+    np.add.at(sums, back.ravel(), n)
+    return found, sums
 
 
 def _heads(before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -246,14 +249,29 @@ def _paths(docs: DataFrame, text: str, lang: str, table: np.ndarray, bits: int,
         return pa.RecordBatch.from_arrays([lists, pa.array(n, pa.int64())], names=["words", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]):
+        # Runs of the slices so far by size, put together whenever they hold too many words.
+        held: dict[int, list] = {size: [] for size in range(2, longest + 1)}
+        waiting = 0
+
+        def together():
+            for size, parts in held.items():
+                if parts:
+                    rows, n = _distinct(*(np.concatenate(x) for x in zip(*parts)))
+                    parts.clear()
+                    yield row(*compact(rows, n)) if size == longest else row(rows.ravel(), np.arange(len(rows) + 1) * size, n)
+
         for batch, texts in slices(batches, text, SLICE):
             pieces = Pieces(texts, batch.column(batch.schema.get_field_index(lang)))
             length = runs_of(pieces, shared.value, bits, longest)
-            for size in range(2, longest + 1):
+            for size, parts in held.items():
                 at = np.flatnonzero(length == size)
                 if len(at):
-                    rows, n = _distinct(pieces.key[at[:, None] + np.arange(size)])
-                    yield row(*compact(rows, n)) if size == longest else row(rows.ravel(), np.arange(len(rows) + 1) * size, n)
+                    parts.append(_distinct(pieces.key[at[:, None] + np.arange(size)], np.ones(len(at), np.int64)))
+                    waiting += parts[-1][0].size
+            if waiting > HELD_WORDS:
+                yield from together()
+                waiting = 0
+        yield from together()
 
     return docs.select(F.col(text), F.col(lang).cast("string").alias(lang)).mapInArrow(run, "words array<long>, n long")
 
