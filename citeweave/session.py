@@ -69,13 +69,16 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 class per_session:
-    """Columns built once per session instead of once per query; `columns(df)` returns them."""
+    """Columns built once per application instead of once per query; `columns(df)` returns them.
+
+    A stream hands its batches over in sessions of their own, which share the application's columns.
+    """
 
     def __init__(self, build: Callable[[], list[Column]]):
         self.build, self.built = build, WeakKeyDictionary()
 
     def __call__(self, df: DataFrame) -> list[Column]:
-        session = df.sparkSession
-        if session not in self.built:
-            self.built[session] = self.build()
-        return self.built[session]
+        context = df.sparkSession.sparkContext
+        if context not in self.built:
+            self.built[context] = self.build()
+        return self.built[context]
