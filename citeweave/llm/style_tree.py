@@ -27,7 +27,8 @@ LEAST_IMPORTANCE = 0.3
 SIGN = 0.5  # what a sign against a branch leaves of its importance
 LEAST_PAGES = 8  # a tree of fewer pages says nothing about its branches
 REPEATED_SHARE, REPEATED_PAGES = 0.6, 20
-MAX_BROADCAST_HOSTS = 20_000
+LEAST_ARTICLE = 25  # words from which on the only article of a page is taken at its word, however long what stands beside it
+MAX_BROADCAST_HOSTS, MAX_BROADCAST_NAMES = 20_000, 2_000_000  # hosts, and 8-byte names in all their lists
 BATCH_CHARS = 4 << 20
 STYLE, CONTENT, PLACE = 0, 1, 2
 
@@ -160,7 +161,10 @@ def main_text(
     page: Page, branches: frozenset[int] = frozenset(), repeated: frozenset[int] = frozenset(),
     doubtful: frozenset[int] = frozenset(), important: frozenset[int] = frozenset(),
 ) -> str:
-    """Blocks outside of unimportant branches; of those beside an article, the important ones, or all if they are longer than it."""
+    """Blocks outside of unimportant branches; of those beside an article, the important ones, or all if they are longer than every article.
+
+    The only article of a page counts from `LEAST_ARTICLE` words on, whatever the length of what stands beside it.
+    """
     kept = [b for b in page.blocks if not b[1] & HEADER]
     if not any(b[1] & ARTICLE for b in kept):
         kept = page.blocks
@@ -177,7 +181,8 @@ def main_text(
             articles[flags >> NUMBER] = articles.get(flags >> NUMBER, 0) + words_in(text)
         else:
             beside += words_in(text)
-    if articles and beside <= max(articles.values()):
+    lone = len(articles) == 1 and max(articles.values()) >= LEAST_ARTICLE
+    if articles and (lone or beside <= max(articles.values())):
         kept = [b for b in kept if b[1] & ARTICLE or (not b[1] & NAMED and b[0] and b[0][-1] in important)]
     return "\n\n".join(text for _, _, text in kept)
 
@@ -186,13 +191,16 @@ def extract(pages: DataFrame) -> DataFrame:
     """`pages` with `text`: the main text of each page, its blocks joined by an empty line; "" if there is none.
 
     A NULL html is an empty page; a NULL or odd url belongs to the host without a name. Repeated
-    pages have rows of their own but are evidence once; a column named text or host is replaced.
+    pages have rows of their own but are evidence once; a column named text is replaced, one named host is kept. Very
+    long and deep pages are read in time in proportion to their length.
     """
     columns = [c for c in pages.columns if c not in ("text",)]
     hosts = F.xxhash64(host_of(F.col("url")))
     seen = materialise(_observations(pages.select(hosts.alias("host"), "html")), "style_seen")
     decided = materialise(_decisions(seen, copies=False), "style_tree")
-    few = decided.limit(MAX_BROADCAST_HOSTS + 1).count() <= MAX_BROADCAST_HOSTS
+    held = sum(F.coalesce(F.greatest(F.size(c), F.lit(0)), F.lit(0)) for c in decided.columns[1:])
+    sizes = decided.agg(F.count("*").alias("hosts"), F.coalesce(F.sum(held), F.lit(0)).alias("names")).first()
+    few = sizes.hosts <= MAX_BROADCAST_HOSTS and sizes.names <= MAX_BROADCAST_NAMES
     packed = pages.select(hosts.alias("_host"), "html", F.struct(*columns).alias("_page"))
     lists = ["_branches", "_repeated", "_doubtful", "_important"]
     decided = decided.toDF("_host", *lists)

@@ -1,6 +1,7 @@
 import html
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -206,3 +207,70 @@ def test_repeated_texts_go_where_they_repeat(spark):
     rows += [(40, "http://a.example/x", "<article><h2>Read more</h2><p>Text 40</p></article>")]
     got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGES)).collect()}
     assert got[3] == "Text 3" and got[40] == "Read more\n\nText 40"
+
+
+STORY = " ".join(f"story{k}" for k in range(40))
+LONG = "<p>" + "</p><p>".join(" ".join(f"remark{i}x{k}" for k in range(30)) for i in range(3)) + "</p>"
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<main><h1>T</h1><p>{story}</p><div id=comments>{long}</div></main>",
+        "<article><h1>T</h1><p>{story}</p><section class=replies>{long}</section></article>",
+        "<article><h1>T</h1><p>{story}</p></article><div class=comment-list>{long}</div>",
+        "<main><article><h1>T</h1><p>{story}</p></article><div class='post comments-open'><div class=comment>{long}</div></div></main>",
+        "<div><h1>T</h1><p>{story}</p></div><div id=disqus_thread>{long}</div>",
+        "<article><h1>T</h1><p>{story}</p></article><div class=sidebar>{long}</div>",
+        "<main><h1>T</h1><p>{story}</p><div class=sidebar-right>{long}</div></main>",
+        "<div><h1>T</h1><p>{story}</p></div><div class=sidebar>{long}</div>",
+        "<main><h1>T</h1><p>{story}</p><form action=/x>{long}</form></main>",
+        "<div><h1>T</h1><p>{story}</p></div><form action=/x>{long}</form>",
+        "<article><h1>T</h1><p>{story}</p><div class=advert>{long}</div></article>",
+        "<div class='layout has-sidebar no-comments'><h1>T</h1><p>{story}</p><div class=sidebar>{long}</div></div><p>Skip",
+        "<article><h1>T</h1><p>{story}</p></article><div class=c7>{long}</div>",
+    ],
+)
+def test_length_makes_no_surroundings_a_story(source):
+    got = text(source.format(story=STORY, long=LONG))
+    assert got.replace("\n\nSkip", "") == f"T\n\n{STORY}"
+
+
+def test_comments_of_a_whole_host(spark):
+    def page(i):
+        remarks = "".join(f"<p>{words(i + 31 * k)}</p>" for k in range(1, 4))
+        return f"<main><p>{words(i, 40)}</p><div id=comments>{remarks}</div></main>"
+
+    rows = [(i, "http://a.example/x", page(i)) for i in range(1, 31)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: words(i, 40) for i in range(1, 31)}
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<a " * 100_000, "<div" * 100_000, "<div>" * 100_000, "<div class=nav>" * 100_000 + "x", "<div class=nav><p>a" * 50_000,
+        "<a '>' " * 50_000 + '"', "<a \"" * 100_000 + ">", "<!x" * 100_000, "<span hidden>" * 100_000,
+        "<span class=share>" * 100_000 + "<p>x</span>", "<div>" * 50_000 + "</p></section>" * 50_000, "<script></script " * 50_000,
+        "<form>" * 100_000 + "<h1>x", "<b x='" * 100_000, "</div x" * 100_000, "<p hidden>" * 100_000 + "</span>",
+    ],
+)
+def test_reading_takes_time_in_proportion(source):
+    def seconds(n):
+        begun = time.process_time()
+        main_text(read_page(source[:n]))
+        return time.process_time() - begun
+
+    half, whole = seconds(len(source) // 2), seconds(len(source))
+    assert whole < 4 and whole < 3.2 * half + 0.3
+
+
+def test_tags_with_unclosed_quotes_end_at_the_next_bracket():
+    assert text("<article><p>a <a href='x>link</a> b<p title=\"y>c</article>") == "a link b\n\nc"
+    assert text("<p>1 < 2 <b") == "1 < 2 <b"
+
+
+def test_depth_changes_paths_alone():
+    deep = "<article>" + "<div>" * 400 + "<nav>menu<div>menu</div>menu</nav>text" + "</div>" * 400 + "end</article>beside"
+    page = read_page(deep)
+    assert main_text(page) == "text\n\nend" and max(len(b[0]) for b in page.blocks) <= 129
