@@ -28,7 +28,8 @@ LENGTH = 1024  # ids of a sequence
 PER_SHARD = 4_096  # sequences of a file: 8 MB
 ROUNDS = 4
 MAX_BROADCAST_TASKS = 1_000_000
-MOST_READERS = 10_000
+MOST_READERS, MOST_WRITERS = 10_000, 50_000
+LEVEL = 6  # of the compression a sequence's ids move to their slot with
 WIDTH = 2  # bytes of an id, little-endian
 
 
@@ -100,12 +101,25 @@ def _sequences(docs: DataFrame, length: int, vocabulary: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, ddl)
 
 
-def _write_shards(placed: DataFrame, folder: str, per_shard: int) -> DataFrame:
-    """One file per shard, slot after slot. A shard's sequences come to one task in order; it holds one shard at a time."""
+def _smaller(placed: DataFrame) -> DataFrame:
+    """Each sequence's ids compressed by themselves: what is shuffled is smaller than rows that are compressed in blocks as they come."""
+
+    def run(batches):
+        codec = pa.Codec("zstd", compression_level=LEVEL)
+        for rows in batches:
+            ids = pa.array([codec.compress(data.as_buffer(), asbytes=True) for data in rows.column(5)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*rows.columns[:5], ids], names=rows.schema.names)
+
+    columns = placed.select("slot", "shard", "first_doc_id", "n_docs", "n_tokens", "ids")
+    return columns.mapInArrow(run, "slot long, shard long, first_doc_id long, n_docs int, n_tokens int, ids binary")
+
+
+def _write_shards(placed: DataFrame, folder: str, length: int, shards: int) -> DataFrame:
+    """One file per shard, slot after slot. Tasks take ranges of slots, whole shards each; a task holds a few sequences at a time."""
     ddl = "slot long, shard long, place long, file string, first_doc_id long, n_docs int, n_tokens int, crc32 long"
 
     def run(batches):
-        file, shard, out = None, None, ([], [], [], [], [], [], [], [])
+        file, shard, out, codec = None, None, ([], [], [], [], [], [], [], []), pa.Codec("zstd")
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
         names = [part.strip().split(" ")[0] for part in ddl.split(",")]
 
@@ -122,7 +136,7 @@ def _write_shards(placed: DataFrame, folder: str, per_shard: int) -> DataFrame:
                         file.close()
                     shard = own.as_py()
                     file = NewFile(folder, f"shard-{shard:08d}", ".bin")
-                data = ids.as_py()
+                data = codec.decompress(ids.as_buffer(), decompressed_size=length * WIDTH, asbytes=True)
                 at = file.write(data)
                 values = (slot.as_py(), shard, at // len(data), file.name, first.as_py(), docs.as_py(), n.as_py(), zlib.crc32(data))
                 for column, value in zip(out, values):
@@ -131,8 +145,10 @@ def _write_shards(placed: DataFrame, folder: str, per_shard: int) -> DataFrame:
         if file is not None:
             file.close()
 
-    dealt = placed.repartition("shard").sortWithinPartitions("slot")
-    return dealt.select("slot", "shard", "first_doc_id", "n_docs", "n_tokens", "ids").mapInArrow(run, ddl)
+    # Slots are known to be 0 to the last one, so the ranges need no sample: as many tasks as shards, or equal runs of shards.
+    writers = max(1, min(shards, MOST_WRITERS))
+    writer = F.floor(F.col("shard") * writers / max(shards, 1)).cast("int")
+    return _smaller(placed).repartitionById(writers, writer).sortWithinPartitions("slot").mapInArrow(run, ddl)
 
 
 @dataclass(frozen=True)
@@ -154,7 +170,8 @@ def materialise_order(
     Each text is followed by the end id; NULL and empty texts are their end alone, repeated rows are written each. No id
     is dropped: the last sequence of a task is filled up with end ids, its n_tokens tells how many are real. The
     table says of each sequence: slot, shard, place in its file, file, first_doc_id (the document that first begins
-    in it, NULL if none does), n_docs (how many begin in it), n_tokens, and crc32 of its bytes.
+    in it, NULL if none does), n_docs (how many begin in it), n_tokens, and crc32 of its bytes. An empty table gives no
+    file and no row; columns other than the two are not read, whatever their names.
     """
     folder = new_path(docs.sparkSession, "order")
     made = packed(_sequences(docs, length, vocabulary), "sequences")
@@ -167,7 +184,7 @@ def materialise_order(
     numbered = made.join(F.broadcast(parts) if few else parts, "part").withColumn("number", F.col("offset") + F.col("nth"))
     placed = numbered.withColumn("slot", permuted(numbered.select("number"), "number", max(total, 1), key))
     placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long"))
-    return Order(folder, materialise(_write_shards(placed, folder, per_shard), "order"), total, length, per_shard)
+    return Order(folder, materialise(_write_shards(placed, folder, length, -(-total // per_shard)), "order"), total, length, per_shard)
 
 
 def read_from(order: Order, step: int, count: int) -> list[np.ndarray]:
