@@ -2,9 +2,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from citeweave.llm.quality import RULES, judge, measure, order_rules, quality_cascade, Features
+from citeweave.llm.quality import RULES, judge, measure, name_rules, order_rules, quality_cascade, Features
 from citeweave.llm.queries import ORACLES, QUERIES
 from citeweave.llm.words import texts_of
 import pyarrow as pa
@@ -74,3 +75,35 @@ def test_empty_repeated_and_clashing(spark):
 def test_query_equals_sql(spark):
     con = duck(SF)
     assert differences(QUERIES["op5_quality_cascade"](spark, SF), ORACLES["op5_quality_cascade"], con) == []
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_rule_named_is_the_first_of_the_list(seed):
+    shuffled = random.Random(seed).sample(RULES, len(RULES))
+    features = Features(texts_of(pa.array(texts())))
+    found = name_rules(features, judge(features, shuffled), shuffled, RULES)
+    flags = [rule.rejects(Features(texts_of(pa.array(texts())))) for rule in RULES]
+    want = [next((k for k in range(len(RULES)) if flags[k][i]), -1) for i in range(len(features))]
+    assert found.tolist() == want and len(set(want)) > 4
+
+
+def test_rows_taken_again_and_again_keep_their_features():
+    whole, rng = Features(texts_of(pa.array(texts()))), random.Random(8)
+    want = [figures(t) for t in texts()]
+    left = list(range(len(want)))
+    for _ in range(5):
+        if rng.random() < 0.7:
+            whole.ranges
+        if rng.random() < 0.5:
+            whole.lines
+        keep = [rng.random() < 0.8 for _ in left]
+        whole, left = whole.take(np.array(keep)), [i for i, k in zip(left, keep) if k]
+        assert len(whole) == len(left)
+    got = zip(whole.n_words, whole.word_chars, whole.n_symbols, whole.lines[1], whole.n_repeat_words)
+    assert [tuple(map(int, row)) for row in got] == [tuple(want[i].values()) for i in left]
+
+
+def test_every_partition_is_measured(spark):
+    docs = documents(spark, ["few words"] * 200).repartition(9)
+    by = {f["rule"]: f for f in measure(docs, sample_rows=5)}
+    assert by["few_words"]["rows"] == by["few_words"]["rejected"] == 45
