@@ -18,7 +18,7 @@ from .style_tree import extract
 from .tables import read
 from .token_files import count_tokens_in_files, list_blocks, write_token_files
 from .training_order import materialise_order, read_back
-from .warc import all_captures, read_captures, write_archive
+from .warc import captures_of, read_captures, write_archive
 
 QUERIES, ORACLES = {}, {}
 
@@ -154,8 +154,9 @@ def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archive = write_archive(read(spark, sf_dir, "pages"))
-    records = read_captures(archive, all_captures(archive))
+    pages = read(spark, sf_dir, "pages")
+    archive = write_archive(pages)
+    records = read_captures(archive, captures_of(archive, pages))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -20,17 +20,20 @@ from dataclasses import dataclass
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import dataset
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from .files import NewFile, Reader
+from .files import NewFile, Reader, store
 from .tables import materialise
 
 LEAST_SHARED = 100  # payloads of fewer bytes are stored each time
 ARCHIVE_BYTES = 256 << 20
 BLOCK_LINES = 1_000
 MAX_BROADCAST_PAYLOADS = 100_000
+DIRECTORY_ROWS, DIRECTORY_GROUP = 2_000_000, 1 << 20  # blocks of a directory's file, bytes of its row groups
+SEARCHED_ROWS = 8_192
 READ_BYTES = 8 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -41,7 +44,8 @@ _ADDRESS = re.compile(r"^([a-z][a-z0-9+.-]*)://(?:[^/?#@]*@)?([^/?#:]*)(:\d*)?(.
 class Archive:
     folder: str
     index: str
-    directory: DataFrame
+    directory: DataFrame  # a row per block of the index, in the order of their keys
+    directory_folder: str  # where tasks search it
 
 
 def capture_key(url: str | None) -> str:
@@ -174,7 +178,18 @@ def write_archive(
     joined = pages.join(shared, F.col("digest") == F.col("same"), "left")
     folder, index = new_path(spark, "warc"), new_path(spark, "cdx")
     captures = materialise(_write_archives(joined, folder, date, archive_bytes), "captures")
-    return Archive(folder, index, materialise(_write_index(captures, index, block_lines), "directory"))
+    blocks = materialise(_write_index(captures, index, block_lines), "blocks")
+    return Archive(folder, index, *_write_directory(blocks))
+
+
+def _write_directory(blocks: DataFrame) -> tuple[DataFrame, str]:
+    """The directory, sorted over few files and in small row groups, so that a task reads no more of it than its keys span."""
+    path = new_path(blocks.sparkSession, "directory")
+    order = ("first_key", "last_key", "file", "offset")
+    files = blocks.count() // DIRECTORY_ROWS + 1
+    dealt = blocks.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    dealt.write.option("parquet.block.size", DIRECTORY_GROUP).parquet(path)
+    return blocks.sparkSession.read.schema(blocks.schema).parquet(path), path
 
 
 def _lines(reader: Reader, name: str, offset: int, length: int) -> list[tuple[str, dict]]:
@@ -208,6 +223,78 @@ def all_captures(archive: Archive) -> DataFrame:
     return archive.directory.repartition(F.xxhash64("file", "offset")).mapInArrow(run, _CAPTURE)
 
 
+def _search(archive: Archive, keys: DataFrame) -> DataFrame:
+    """`(key, file, offset, length)`: the blocks that may hold each of the distinct keys.
+
+    Keys are dealt by range and sorted. A task goes through the part of the directory its keys span, a few thousand rows
+    at a time, and bisects them for each key in their range. The directory must be sorted.
+    """
+    folder = archive.directory_folder
+
+    def run(batches):
+        source = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if source is None:
+                files, path = store(folder)
+                source = dataset.dataset(path, filesystem=files, format="parquet")
+            keys = batch.column(0).to_pylist()
+            spanned = (dataset.field("last_key") >= keys[0]) & (dataset.field("first_key") <= keys[-1])
+            for part in source.to_batches(filter=spanned, batch_size=SEARCHED_ROWS):
+                if not part.num_rows:
+                    continue
+                firsts, lasts = (part.column(n).to_pylist() for n in ("first_key", "last_key"))
+                found, places = [], []
+                for key in keys[bisect.bisect_left(keys, firsts[0]) : bisect.bisect_right(keys, lasts[-1])]:
+                    at = bisect.bisect_left(lasts, key)
+                    while at < len(lasts) and firsts[at] <= key:
+                        found.append(key)
+                        places.append(at)
+                        at += 1
+                taken = part.select(["file", "offset", "length"]).take(pa.array(places, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), *taken.columns], names=["key", "file", "offset", "length"])
+
+    dealt = keys.repartitionByRange("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "key string, file string, offset long, length long")
+
+
+def captures_of(archive: Archive, addresses: DataFrame) -> DataFrame:
+    """Captures of all addresses in the column `url`, each capture once however often its address is asked for.
+
+    The directory is searched for each key, then the blocks it names, each read once. A key's blocks are read by
+    many tasks, as one address may hold a large share of all captures. A NULL address has the key "", like an empty
+    one; an address without captures gives no row; other columns are not read.
+    """
+    index = archive.index
+
+    def keyed(batches):
+        for batch in batches:
+            keys = {capture_key(url.as_py()) for url in batch.column(0)}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(keys), pa.string())], names=["key"])
+
+    def run(batches):
+        reader, block, lines, names = Reader(index), None, [], []
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                if (row["file"], row["offset"]) != block:
+                    block = row["file"], row["offset"]
+                    lines = _lines(reader, *block, row["length"])
+                    names = [key for key, _ in lines]
+                found += lines[bisect.bisect_left(names, row["key"]) : bisect.bisect_right(names, row["key"])]
+                if len(found) >= 10_000:
+                    yield _captures_batch(found)
+                    found = []
+            if found:
+                yield _captures_batch(found)
+        reader.close()
+
+    keys = addresses.select("url").mapInArrow(keyed, "key string").distinct()
+    blocks = _search(archive, keys).repartition("file", "offset").sortWithinPartitions("file", "offset", "key")
+    return blocks.mapInArrow(run, _CAPTURE)
+
+
 def find_captures(archive: Archive, urls: list[str]) -> DataFrame:
     """Captures of some addresses: binary search of the directory, then of the blocks that may hold them."""
     keys, index = sorted({capture_key(u) for u in urls}), archive.index

@@ -1,3 +1,4 @@
+import dataclasses
 import hashlib
 import random
 
@@ -7,7 +8,7 @@ from pyspark.sql import types as T
 
 from citeweave.llm.files import Reader
 from citeweave.llm.queries import ORACLES, QUERIES
-from citeweave.llm.warc import all_captures, capture_key, find_captures, read_captures, write_archive
+from citeweave.llm.warc import _write_directory, all_captures, capture_key, captures_of, find_captures, read_captures, write_archive
 
 from ..oracle import differences, duck
 
@@ -92,3 +93,34 @@ def test_odd_tables(spark):
 
 def test_query_equals_sql(spark):
     assert differences(QUERIES["op7_capture_index"](spark, SF), ORACLES["op7_capture_index"], duck(SF)) == []
+
+
+def asked(spark, urls, name="url"):
+    return spark.createDataFrame([(u, 1) for u in urls], f"{name} string, key int")
+
+
+def test_a_table_of_addresses(spark, archive):
+    urls = [u for _, u, _ in rows()]
+    every = captures_of(archive, asked(spark, urls * 2).repartition(4)).collect()
+    assert sorted(map(str, every)) == sorted(map(str, all_captures(archive).collect()))
+    some = [u for _, u, _ in rows()[::9]] + ["http://nowhere.org/", None, None]
+    found = captures_of(archive, asked(spark, some)).collect()
+    keys = {capture_key(u) for u in some}
+    assert sorted(str(r.page_id) for r in found) == sorted(str(i) for i, u, _ in rows() if capture_key(u) in keys)
+    assert captures_of(archive, asked(spark, [])).count() == 0
+
+
+def test_rows_come_through_the_search(spark, archive, tmp_path):
+    shuffled = str(tmp_path / "directory")
+    archive.directory.coalesce(1).orderBy(F.xxhash64("offset", "file")).coalesce(1).write.parquet(shuffled)
+    wrong = dataclasses.replace(archive, directory_folder=shuffled)
+    urls = asked(spark, [u for _, u, _ in rows()])
+    assert captures_of(wrong, urls).count() < captures_of(archive, urls).count() == len(rows())
+
+
+def test_directory_over_several_files(spark, archive, monkeypatch):
+    monkeypatch.setattr("citeweave.llm.warc.DIRECTORY_ROWS", 10)
+    _, folder = _write_directory(archive.directory)
+    more = dataclasses.replace(archive, directory_folder=folder)
+    urls = asked(spark, [u for _, u, _ in rows()])
+    assert captures_of(more, urls).count() == len(rows())
