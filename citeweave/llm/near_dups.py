@@ -9,7 +9,11 @@ Work that would grow with the square of a group's size is avoided without losing
 2. in each bucket a node is paired with its predecessor and with the first node, and each node's
    best such pairs are confirmed; this joins most groups by a number of pairs linear in their size;
 3. only buckets that still hold several components are paired out, between components: nodes that share a
-   rare shingle, and nodes whose common shingles alone would be enough for a link.
+   rare shingle, and nodes of small buckets whose common shingles alone would be enough for a link;
+4. the nodes of a large bucket are told by what they add to and leave out of a common centre. Two sets at d and e shingles
+   from it, with the sizes m and n, are linked if and only if at least (d + e - (100 - p) / (100 + p) * (m + n)) / 2 of
+   these differences are the same; where that asks for none, both are linked to the centre. Differences of one
+   node alone are left out and the others taken rarest first, so only as many are joined as must hold one in common.
 """
 
 from __future__ import annotations
@@ -31,6 +35,9 @@ SHINGLE = 5
 BANDS, BAND_ROWS = 10, 3
 LEAST_CHANCE = 1e-8  # that a link has fewer agreeing minhashes than are asked for
 RARE_NODES = 32
+SMALL_BUCKET = 32
+PER_PART = 1000  # members of a centre that meet one copy of its set
+CLASSES = 16  # of distances from a centre, in each doubling
 
 _rng = np.random.Generator(np.random.PCG64(3))
 _FACTORS = _rng.integers(1, 1 << 63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -362,6 +369,97 @@ def _linkable(rows: DataFrame, percent: int) -> DataFrame:
     return rows.join(least, "key").filter(enough).drop("least")
 
 
+def _centres(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bucket rows of small buckets, and `(centre, part, node, n_shingles, component)` of the others.
+
+    A centre is the smallest node of a bucket, or of one that shares a node with it: then few centres serve a group.
+    """
+    sizes = materialise(rows.groupBy("key").agg(F.count("*").alias("rows"), F.min("node").alias("centre")), "bucket_sizes")
+    large = sizes.filter(F.col("rows") > SMALL_BUCKET)
+    small = rows.join(large.select("key"), "key", "left_anti")
+    held = materialise(rows.select("key", "node", "n_shingles", "component").join(large.select("key", "centre"), "key"), "large_buckets")
+    for _ in range(2):
+        nearest = held.groupBy("node").agg(F.min("centre").alias("nearest"))
+        moved = held.select("key", "node").join(nearest, "node").groupBy("key").agg(F.min("nearest").alias("centre"))
+        held = materialise(held.drop("centre").join(moved, "key"), "large_buckets")
+    members = materialise(held.filter("node <> centre").select("centre", "node", "n_shingles", "component").distinct(), "members")
+    parts = members.groupBy("centre").agg(F.floor(F.count("*") / PER_PART + 1).alias("parts"))
+    dealt = members.join(parts, "centre").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    return small, dealt.select("centre", "part", "node", "n_shingles", "component")
+
+
+def _differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members with the size of their centre's set, whether they are linked to it, the number of shingles only one of
+    both has, and those: added ones by their hash, left out ones by their hash under a mask."""
+    centres = members.select("centre", "part").distinct().join(sets.toDF("centre", "of_centre"), "centre")
+    both = members.join(centres, ["centre", "part"]).join(sets.toDF("node", "of_node"), "node")
+    columns = ["centre", "part", "node", "n_shingles", "component"]
+    ddl = ", ".join(f"{c} long" for c in columns) + ", n_centre long, linked boolean, apart long, differences array<long>"
+    schema = arrow_schema(ddl)
+
+    def run(batches):
+        for batch in batches:
+            found, sizes = [], []
+            for a, c in zip(batch.column(5), batch.column(6)):
+                a, c = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(c.as_buffer(), np.uint64)
+                added, left = np.setdiff1d(a, c, assume_unique=True), np.setdiff1d(c, a, assume_unique=True)
+                found.append(np.concatenate([added, left ^ _TAGS[2]]).view(np.int64))
+                sizes.append((len(a), len(c)))
+            if not found:
+                continue
+            n, n_centre = np.array(sizes, np.int64).T
+            apart = np.array([len(x) for x in found], np.int64)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(apart)]).astype(np.int32)), pa.array(np.concatenate(found))
+            )
+            linked = pa.array((100 + percent) * apart <= (100 - percent) * (n + n_centre))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(n_centre), linked, pa.array(apart), lists], schema=schema
+            )
+
+    return both.select(*columns, "of_node", "of_centre").mapInArrow(run, ddl)
+
+
+def _around_centres(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """`(links, pairs)` of members: links `(u, v)` to their centre, and pairs `(a, b)` of different components with one centre
+    that have enough differences in common to be linked, as far as one each of the rarest can tell."""
+    gain, loss = 100 + percent, 100 - percent
+    found = materialise(_differences(members, sets, percent), "differences")
+    links = found.filter("linked").select(F.col("node").alias("u"), F.col("centre").alias("v"))
+
+    each = found.select("centre", "node", F.explode("differences").alias("difference"))
+    counts = each.groupBy("centre", "difference").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = each.join(counts, ["centre", "difference"]).groupBy("centre", "node").agg(
+        F.sort_array(F.collect_list(F.struct("n", "difference"))).getField("difference").alias("shared")
+    )
+    # far: how far beyond the centre's reach, in classes whose least value stands for all their members.
+    rows = found.drop("differences").join(shared, ["centre", "node"]).withColumn("far", gain * F.col("apart") - loss * F.col("n_shingles"))
+    unit = loss * F.col("n_centre")
+    rows = rows.withColumn("own", F.floor(CLASSES * F.log2(1 + (F.col("far") + unit) / unit)))
+    rows = materialise(rows, "shared_differences")
+    classes = rows.groupBy("centre").agg(F.collect_set("own").alias("classes"))
+    classes = rows.select("centre", "part").distinct().join(classes, "centre")
+    least = F.floor(unit * (F.pow(2.0, F.col("want") / CLASSES) - 1)) - 1 - unit
+    wanted = rows.join(classes, ["centre", "part"]).withColumn("want", F.explode("classes"))
+    wanted = wanted.withColumn("common", F.greatest(F.lit(1), F.ceil((F.col("far") + least) / (2 * gain))))
+    wanted = wanted.filter(F.size("shared") >= F.col("common"))
+    rarest = F.slice("shared", F.lit(1), (F.size("shared") - F.col("common") + 1).cast("int"))
+    of_node = ["node", "n_shingles", "component", "far", "rest"]
+    one = wanted.withColumn("size", F.size("shared")).select("*", F.posexplode(rarest).alias("before", "difference"))
+    one = one.withColumn("rest", F.col("size") - F.col("before")).select("centre", "own", "want", "difference", "before", *of_node)
+    one = materialise(one, "rarest_differences")
+    two = one.select(
+        "centre", F.col("want").alias("own"), F.col("own").alias("want"), "difference",
+        *(F.col(c).alias(f"{c}_2") for c in ("before", *of_node)),
+    )
+    # As both lists have one order, the differences in common lie before this one in both, or from it on in both.
+    most = F.least("before", "before_2") + F.least("rest", "rest_2")
+    fits = (F.col("component") < F.col("component_2")) & _sizes_allow("n_shingles", "n_shingles_2", percent)
+    fits = fits & (2 * gain * most >= F.col("far") + F.col("far_2"))
+    pairs = one.join(two, ["centre", "own", "want", "difference"]).filter(fits)
+    return links, pairs.select(F.col("node").alias("a"), F.col("node_2").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = 85,
@@ -418,13 +516,17 @@ def near_duplicates(
         cores, rare = _shared_shingles(open_rows, sets)
         open_rows = materialise(_mixed(_linkable(open_rows.join(cores, "node"), percent)), "open")
         overlap = (100 + percent) * F.least("core", "core_2") >= percent * (F.col("n_shingles") + F.col("n_shingles_2"))
-        open_rows = materialise(_with_bands(open_rows, nodes, bands, band_rows), "open")
-        across = _across(open_rows, "key", percent, overlap & _first_table(bands)).unionByName(_across(rare, "hash", percent)).distinct()
+        small, members = _centres(open_rows)
+        to_centres, around = _around_centres(members, sets, percent)
+        small = materialise(_with_bands(small, nodes, bands, band_rows), "open")
+        across = _across(small, "key", percent, overlap & _first_table(bands))
+        across = across.unionByName(around).unionByName(_across(rare, "hash", percent)).distinct()
+        first_links = first.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(to_centres)
     else:
         across = open_rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
+        first_links = first.select(F.col("node").alias("u"), F.col("component").alias("v"))
     left = materialise(_agreeing(across, nodes, least_agreeing(percent, 2 * bands * band_rows)).select("a", "b"), "pairs")
-    links = _confirmed(left, sets, percent).unionByName(first.select(F.col("node").alias("u"), F.col("component").alias("v")))
-    final = components(links)
+    final = components(_confirmed(left, sets, percent).unionByName(first_links))
 
     labels = classes.join(final, "node", "left").select("hi", "lo", "node", "doc_id", F.coalesce("component", "node").alias("component"))
     top = labels.groupBy("component").agg(

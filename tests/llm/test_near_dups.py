@@ -125,3 +125,72 @@ def test_components(spark, seed):
 def test_agreeing_minhashes_asked_for_follow_the_threshold():
     assert near_dups.least_agreeing(85, 60) == 0.55  # under 33: 6 in 10^9
     assert near_dups.least_agreeing(80, 60) == 28 / 60  # under 28: 2 in 10^9, under 33: 3 in 10^6
+
+
+def large_group(n, words=150, seed=4):
+    """Copies of one text with edits of their own: most pairs are just below the threshold, many links go over others."""
+    rng = random.Random(seed)
+    base = prose(rng, words, 9000)
+    return [edited(rng, base, rng.choice((1, 2, 3, 3, 4, 4, 5))) for _ in range(n)]
+
+
+def components_by_overlaps(texts):
+    """The smallest position of each text's component, from the overlaps of all pairs."""
+    sets = [shingles(t) for t in texts]
+    held = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            held.setdefault(x, []).append(i)
+    common = [rows for rows in held.values() if len(rows) > 1]
+    matrix = np.zeros((len(sets), len(common)), np.float32)
+    for k, rows in enumerate(common):
+        matrix[rows, k] = 1
+    both = matrix @ matrix.T
+    size = np.array([len(s) for s in sets])
+    linked = 100 * both >= 85 * (size[:, None] + size[None] - both)
+    np.fill_diagonal(linked, True)
+    label = np.arange(len(sets))
+    while True:
+        new = np.array([label[row].min() for row in linked])
+        if (new == label).all():
+            return label.tolist()
+        label = new
+
+
+@pytest.mark.parametrize("n", [300, 3000])
+def test_large_group_just_below_the_threshold(spark, monkeypatch, n):
+    texts = large_group(n)
+    joined = []
+    plain = near_dups._agreeing
+
+    def counted(pairs, nodes, least):
+        joined.append(pairs.count())
+        return plain(pairs, nodes, least)
+
+    monkeypatch.setattr(near_dups, "_agreeing", counted)
+    found = near_duplicates(documents(spark, texts).repartition(7)).collect()
+    labels = components_by_overlaps(texts)
+    assert len(set(labels)) > n / 20 and max(map(labels.count, set(labels))) > n / 20
+    assert sorted((r.doc_id, r.component_id) for r in found) == list(enumerate(labels))
+    assert joined[0] < n * n / 2 / 10
+
+
+def test_differences_find_every_pair_of_a_centre(spark):
+    """Without buckets: all members of one centre, each a component of its own."""
+    texts = large_group(120, words=60, seed=8) + ["one two three four five six"]
+    sets = [np.array(sorted({hash(x) & (2**63 - 1) for x in shingles(t)}), np.uint64) for t in texts]
+    held = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, set binary")
+    members = spark.createDataFrame(
+        [(0, i % 3, i, len(s), i) for i, s in enumerate(sets) if i], "centre long, part long, node long, n_shingles long, component long"
+    )
+    links, pairs = near_dups._around_centres(members, held, 85)
+
+    def linked(i, j):
+        common = len(np.intersect1d(sets[i], sets[j]))
+        return 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common)
+
+    near = {r.u for r in links.collect()}
+    assert near == {i for i in range(1, len(sets)) if linked(0, i)}
+    found = {(r.a, r.b) for r in pairs.collect()}
+    wanted = {(i, j) for j in range(1, len(sets)) for i in range(1, j) if linked(i, j) and not (i in near and j in near)}
+    assert wanted and wanted <= found
