@@ -4,7 +4,7 @@ A document is its set of word shingles. Two collections of short minhash bands a
 table key is a pair of one band from each: `bands` squared tables cost the minhashes of only twice
 `bands` bands. Documents that share a key are candidates, and a link is confirmed on full sets.
 
-Work that would grow with the square of a group's size is avoided without losing a link:
+Work that would grow with the square of a group's size is avoided as far as it can be without losing a link:
 1. documents with equal sets become one node;
 2. in each bucket a node is paired with its predecessor and with the first node, and each node's
    best such pairs are confirmed; this joins most groups by a number of pairs linear in their size;
@@ -14,6 +14,7 @@ Work that would grow with the square of a group's size is avoided without losing
    from it, with the sizes m and n, are linked if and only if at least (d + e - (100 - p) / (100 + p) * (m + n)) / 2 of
    these differences are the same; where that asks for none, both are linked to the centre. Differences of one
    node alone are left out and the others taken rarest first, so only as many are joined as must hold one in common.
+   Where many edits of a group meet in the same places, a share of its pairs still comes up.
 """
 
 from __future__ import annotations
