@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from .constants import SITE
 from .functions.text import people_search_url, title_search_url
-from .session import spread
+from .session import PAGE_ROWS, spread
+
+RENDERED = ("customer", "documents", "part")
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    """A table; a page is a hundred times its row, so those that pages are made of get tasks by their number of rows."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), PAGE_ROWS if name in RENDERED else None)
 
 
 def _sql(text: str):
