@@ -99,7 +99,12 @@ class HotKeys:
         return self._parts(right, key).withColumn(self.RIGHT_PART, F.explode(parts)).drop("_parts")
 
     def join(self, left: DataFrame, right: DataFrame, equal, how: str) -> DataFrame:
-        """Join sides that went through `deal` and `repeat`."""
+        """Join sides that went through `deal` and `repeat`, as a sort-merge join.
+
+        Neither side has a bound on its bytes. What Spark guesses from the size of compressed files, with columns left out, is
+        a small share of what the rows take, and would send millions of them through the driver as a broadcast.
+        """
+        right = right.hint("merge")
         if not self.any:
             return left.join(right, equal, how)
         same_part = F.col(self.LEFT_PART) == F.col(self.RIGHT_PART)
