@@ -144,10 +144,11 @@ def _headlines(pages):
 
 
 def ingest_stream(spark, sf_dir):
-    """The page file as a stream, ingested twice: the second run finds nothing new."""
+    """The page table as a stream, ingested twice: the second run finds nothing new."""
     out, checkpoint = new_path(spark, "headlines"), new_path(spark, "log")
+    # A stream takes no path of a single file. This pattern names the table alone, be it a file or a folder of files.
     for _ in range(2):
-        ingest(spark, sf_dir, _headlines, out, checkpoint, pattern="pages.parquet")
+        ingest(spark, f"{sf_dir}/pages.parque[t]", _headlines, out, checkpoint, pattern="*")
     return spark.read.parquet(out)
 
 
