@@ -92,3 +92,10 @@ def test_signs_of_odd_spellings(spark):
     found = rows.select("html", may_hold(F.col("html"), ("want",)).alias("new"), F.col("html").rlike(exact).alias("old")).collect()
     assert all(r.new for r in found if r.old)
     assert not any(r.new for r in found if r.html in ('<p x href="a&b">t &amp; u</p>', "a &amp; b", ""))
+
+
+@pytest.mark.parametrize("name", ["position", "bad_page", "page_articles"])
+def test_areas_that_decide_on_a_page_are_searched_once(spark, sf_dir, name):
+    """A filter by `ok` names an area's fields; it does not search the nodes for each of them again."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gsc_rsb_m_na ") == plan.count("gsc_rsb_sc1 ") == 1
