@@ -142,7 +142,7 @@ def following_anchors(spark, sf_dir):
 
 def blocks(spark, sf_dir):
     """Result blocks of the listing pages, with their place and heading text."""
-    parsed = html_nodes(listing_pages(table(spark, sf_dir, "part")).select("url", "html"), within=(".gs_r",))
+    parsed = html_nodes(listing_pages(table(spark, sf_dir, "part")).select("url", "html"), within=(".gs_r",), attrs=())
     texts = result_blocks(page_nodes(), lambda below: let(first_node(below, tag("h3")), lambda h: tight_text(page_texts(), h)))
     return parsed.select("url", F.posexplode(texts).alias("pos", "heading")).select(
         "url", F.col("pos").cast("bigint").alias("pos"), "heading"

@@ -31,6 +31,11 @@ _HIDDEN = re.compile(
 _MAY_HIDE = r"(?i)<(?:script|style|!--)|[\x{E000}-\x{E002}]"
 
 
+# A start tag, without single quotes, that may have a link in double ones; and what is before the value then.
+_MAY_LINK = r"""^[a-zA-Z][^']*[ \t\r\n\f]href="[^']*$"""
+_LINK_NAME = r"[ \t\r\n\f]href=$"
+
+
 def _hide(html):
     """Hide the marks of code and comments; None if the page holds what stands for them."""
     if any(mark in html for mark in _MARKS):
@@ -52,6 +57,31 @@ def _per_page(page, found, pages):
     return odd
 
 
+def _apart(sources):
+    """`(sources, link, links)`: start tags without the value of their `href`, which of `links` it is (-1: kept), and the values.
+
+    Links differ from tag to tag and little else does, so few different tags are left to be read.
+    """
+    link = np.full(len(sources), -1)
+    at = np.flatnonzero(pc.match_substring_regex(sources, _MAY_LINK))
+    # Of several the last one would count.
+    at = at[np.asarray(pc.count_substring(sources.take(pa.array(at)), "href", ignore_case=True)) == 1]
+    pieces = pc.split_pattern(sources.take(pa.array(at)), '"')
+    first, pieces = np.asarray(pieces.offsets), pieces.values
+    count = np.diff(first)
+    row = np.repeat(np.arange(len(at)), count)
+    nth = np.arange(len(pieces)) - first[row]
+    # Every second piece is a quoted value; a name has one behind it.
+    names = (nth % 2 == 0) & (nth < count[row] - 1) & np.asarray(pc.match_substring_regex(pieces, _LINK_NAME))
+    whole = (np.bincount(row[names], minlength=len(at)) == 1) & (count % 2 == 1)
+    values = np.r_[False, (names & whole[row])[:-1]] if len(pieces) else names
+    links = pieces.filter(pa.array(values))
+    left = pa.ListArray.from_arrays(pa.array(first, pa.int32()), _replaced(pieces, values, [""] * len(links)))
+    at = at[whole]
+    link[at] = np.arange(len(at))
+    return _replaced(sources, link >= 0, pc.binary_join(left, '"').filter(pa.array(whole))), link, links
+
+
 class _Tokens:
     """All tags of some pages, each with the text after it; a page begins with a token of its own."""
 
@@ -69,7 +99,8 @@ class _Tokens:
         at = np.asarray(halves.offsets)
         whole = np.diff(at) == 2
         self.page = np.repeat(np.arange(pages), np.diff(self.first))
-        sources = halves.values.take(pa.array(at[:-1])).dictionary_encode()
+        sources, self.link, self.links = _apart(halves.values.take(pa.array(at[:-1])))
+        sources = sources.dictionary_encode()
         self.texts = halves.values.take(pa.array(at[:-1] + whole))
         self.code = np.asarray(sources.indices)
         self.known = [wanted.token(source) for source in sources.dictionary.to_pylist()]
@@ -183,7 +214,7 @@ def _tree(t, wanted):
     tags, ids, classes = (pa.array([k[i] for k in t.known], pa.string()).take(codes) for i in (1, 3, 4))
     strings, own = _own_strings(t, inner, parent)
     own = strings.take(pa.array(own[kept], mask=own[kept] < 0))
-    attrs = _attributes([k[2] for k in t.known]).take(codes)
+    attrs = _linked(_attributes([k[2] for k in t.known]).take(codes), t, at[kept], wanted)
     node = pa.StructArray.from_arrays([*numbers[:3], tags, ids, classes, attrs, own, *numbers[3:]], names=wanted.fields)
     ends = t.first[1:] - 1
     return (
@@ -214,6 +245,20 @@ def _own_strings(t, inner, parent):
     return strings, own[only]
 
 
+def _linked(attrs, t, tokens, wanted):
+    """Attributes of some tokens with the links that were kept apart put back."""
+    place = np.array([list(k[2]).index("href") if "href" in k[2] else -1 for k in t.known])[t.code[tokens]]
+    link = t.link[tokens]
+    at = np.flatnonzero((place >= 0) & (link >= 0))
+    links = t.links.take(pa.array(link[at]))
+    refers = np.asarray(pc.match_substring(links, "&"))
+    if refers.any():
+        links = _replaced(links, refers, [wanted.unescaped(value) for value in links.filter(pa.array(refers)).to_pylist()])
+    values = np.zeros(len(attrs.items), bool)
+    values[np.asarray(attrs.offsets)[at] + place[at]] = True
+    return pa.MapArray.from_arrays(attrs.offsets, attrs.keys, _replaced(attrs.items, values, links), mask=attrs.is_null())
+
+
 def _attributes(kept):
     return pa.MapArray.from_arrays(
         pa.array([0, *accumulate(map(len, kept))], pa.int32()),

@@ -76,3 +76,26 @@ def test_odd_batches_are_not_tried_each_time(monkeypatch):
     for _ in range(17):
         assert together(["<p>a", "<p>b"], wanted)[2] == [True, True]
     assert len(tried) == 2
+
+
+def test_links_read_apart_from_their_tags():
+    """The value of a link is put back where the page reader has it, whatever else the tag holds."""
+    from citeweave.operators.plain_pages import _apart
+
+    tags = [
+        '<a href="/1">', '<a class="c" href="/2" rel="r">', '<A HREF="/3">', "<a href='/4'>", '<a href="/5" href="/6">', '<a href="/7" href=bare>',
+        '<a title=" href=" class="x">', '<a title="see href=" href="/8">', '<a href="a&amp;b&lt;c">', '<a href="">', '<a href>', '<a data-href="/9">',
+        '<a\nhref="/10"\t>', '<a href="/11"/>', '<link href="/12">', '<a title="it\'s" href="/13">', '<a href="é &x">', '<!-- <a href="/14"> -->',
+    ]
+    body = "".join(f"{t}x{'</a>' if t[1] in 'aA' and t[-2] != '/' else ''}" for t in tags)
+    for within, attrs in ((None, None), (None, ("href",)), (("a",), ("class", "href")), ((".c",), ())):
+        wanted = _Wanted(within, attrs)
+        nodes, texts, plain = read_plain(pa.array([body, "", body]), wanted)
+        assert plain.all()
+        columns = _Columns()
+        _read_page(columns, body, wanted)
+        (expected,), (text,), _ = (c.to_pylist() for c in columns.to_arrow())
+        found = [[e | {"attrs": dict(e["attrs"] or ())} for e in page] for page in nodes.to_pylist()]
+        expected = [e | {"attrs": dict(e["attrs"] or ())} for e in expected]
+        assert found == [expected, [], expected] and texts.to_pylist() == [text, [], text]
+    assert len(_apart(pa.array([f'a href="/{i}"' for i in range(9)]))[0].unique()) == 1
