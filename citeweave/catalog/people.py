@@ -18,14 +18,14 @@ def _customers(spark, sf_dir):
     return table(spark, sf_dir, "customer")
 
 
-def _records(spark, sf_dir):
-    """Extracted records of the readable profile pages."""
-    return profile_records(profile_pages(_customers(spark, sf_dir))).select("url", "record.*")
+def _records(spark, sf_dir, *fields):
+    """The named fields of the profile pages, and whether a page is readable."""
+    return profile_records(profile_pages(_customers(spark, sf_dir)), fields).select("url", "record.*")
 
 
-def _field(name):
+def _field(*names):
     def query(spark, sf_dir):
-        return _records(spark, sf_dir).filter("ok").select("url", name)
+        return _records(spark, sf_dir, *names).filter("ok").select("url", *names)
 
     return query
 
@@ -64,12 +64,12 @@ def without_page_id(spark, sf_dir):
 
 
 def annual(spark, sf_dir):
-    rows = _records(spark, sf_dir).filter("ok").select("url", F.explode("annual_citations").alias("year", "citations"))
-    return rows
+    rows = _records(spark, sf_dir, "annual_citations").filter("ok")
+    return rows.select("url", F.explode("annual_citations").alias("year", "citations"))
 
 
 def articles_of_pages(spark, sf_dir):
-    return _records(spark, sf_dir).filter("ok").select("url", F.inline("articles")).toDF("page_url", "title", "year", "url")
+    return _records(spark, sf_dir, "articles").filter("ok").select("url", F.inline("articles")).toDF("page_url", "title", "year", "url")
 
 
 def exploded(spark, sf_dir):
@@ -116,9 +116,7 @@ QUERIES = {
     "institution_href": _field("institution_href"),
     "personal_website": _field("personal_website"),
     "research_areas": _field("research_areas"),
-    "profile_metrics": lambda spark, sf_dir: _records(spark, sf_dir)
-    .filter("ok")
-    .select("url", "total_citations", "h_index", "i10_index"),
+    "profile_metrics": _field("total_citations", "h_index", "i10_index"),
     "profile_annual_citations": annual,
     "access_articles": _field("total_access_articles"),
     "page_articles": articles_of_pages,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import INSTITUTION_WORDS, POSITION_WORDS
-from ..functions.maps import last_wins, zip_short
+from ..functions.maps import last_wins, worked_out, zip_short
 from ..functions.text import absolute_url, browser_url, collapse, contains_any, people_search_url, strip, whole_number
 from ..operators.html_nodes import html_nodes
 from ..operators.lookup import page_lookup
@@ -58,15 +58,10 @@ def resolve_profiles(seeds: DataFrame, pages: DataFrame, **options) -> DataFrame
 
 
 # -- profile pages -------------------------------------------------------------
-PROFILE_ROOTS = (
-    ".gsc_prf_il",
-    "#gsc_prf_ivh",
-    "#gsc_prf_int",
-    "#gsc_rsb_st",
-    ".gsc_md_hist_b",
-    ".gsc_rsb_m",
-    ".gsc_a_tr",
-)
+# What decides whether a page fails, also holding most fields, and what the other fields are read from.
+DECIDING_ROOTS = (".gsc_prf_il", "#gsc_prf_ivh", "#gsc_rsb_st", ".gsc_rsb_m")
+FIELD_ROOTS = {"research_areas": "#gsc_prf_int", "annual_citations": ".gsc_md_hist_b", "articles": ".gsc_a_tr"}
+PROFILE_ROOTS = (*DECIDING_ROOTS, *FIELD_ROOTS.values())
 
 
 def _texts_of(found: Column) -> Column:
@@ -164,7 +159,7 @@ def _deciding_areas():
             ),
         ).alias("access"),
     ]
-    return [F.inline(F.array(F.struct(*areas)))]
+    return [worked_out(*areas)]
 
 
 @per_session
@@ -226,7 +221,7 @@ def _profile_record():
         & ~(F.col("access.present") & total.isNull())
     )
     years, counts = (F.coalesce(F.col(c), _no_list()) for c in ("years", "counts"))
-    record = F.struct(
+    return [
         ok.alias("ok"),
         _last(F.filter(parts, _is_position)).alias("position"),
         absolute_url(F.col("institution_link.href")).alias("institution_href"),
@@ -239,16 +234,32 @@ def _profile_record():
         last_wins(zip_short(years, counts)).alias("annual_citations"),
         total.alias("total_access_articles"),
         F.col("articles"),
-    )
-    return [record.alias("record")]
+    ]
 
 
-def profile_records(pages: DataFrame) -> DataFrame:
-    """`record`: the profile fields of a page, and `ok`: false where the page fails as a whole."""
-    parsed = html_nodes(pages.select("url", "page_id", "html"), within=PROFILE_ROOTS, attrs=("href", "rel"))
+RECORD = (
+    "ok", "position", "institution_href", "institution", "personal_website", "research_areas", "total_citations",
+    "h_index", "i10_index", "annual_citations", "total_access_articles", "articles",
+)
+
+
+def profile_records(pages: DataFrame, fields: tuple[str, ...] | None = None) -> DataFrame:
+    """`record`: the profile fields of a page, and `ok`: false where the page fails as a whole.
+
+    With `fields`, the record holds `ok` and those alone: the parser returns what they and `ok` are read from, and each is worked out
+    once for all that is done with it.
+    """
+    within = PROFILE_ROOTS if fields is None else (*DECIDING_ROOTS, *(FIELD_ROOTS[f] for f in fields if f in FIELD_ROOTS))
+    signs = [root[1:] for root in PROFILE_ROOTS]
+    parsed = html_nodes(pages.select("url", "page_id", "html"), within=within, attrs=("href", "rel"), signs=signs)
     decided = parsed.select("*", *_deciding_areas(parsed))
     found = decided.select("url", "page_id", "parse_ok", *_found_on_page(decided))
-    return found.select("url", "page_id", *_profile_record(found))
+    record = dict(zip(RECORD, _profile_record(found), strict=True))
+    if not fields:
+        held = RECORD if fields is None else ("ok",)
+        return found.select("url", "page_id", F.struct(*(record[f] for f in held)).alias("record"))
+    found = found.select("url", "page_id", record["ok"], worked_out(*(record[f] for f in fields)))
+    return found.select("url", "page_id", F.struct("ok", *fields).alias("record"))
 
 
 def profile_join(resolved: DataFrame, pages: DataFrame, **options) -> DataFrame:

@@ -99,3 +99,69 @@ def test_areas_that_decide_on_a_page_are_searched_once(spark, sf_dir, name):
     """A filter by `ok` names an area's fields; it does not search the nodes for each of them again."""
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("gsc_rsb_m_na ") == plan.count("gsc_rsb_sc1 ") == 1
+
+
+@pytest.mark.parametrize("name", ["bad_element", "page_articles", "page_links", "profile_annual_citations"])
+def test_what_is_exploded_is_worked_out_once(spark, sf_dir, name):
+    """The filter that Spark adds below an `explode` does not search the nodes again."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert not [line for line in filters if "size(" in line and "lambda" in line]
+
+
+@pytest.mark.parametrize("name, lists", [("position", 0), ("institution_href", 0), ("research_areas", 1), ("page_articles", 1), ("bad_page", 0)])
+def test_only_what_a_field_is_read_from_comes_back_from_the_parser(spark, sf_dir, name, lists, monkeypatch):
+    from citeweave.plans import profiles
+
+    asked, real = [], profiles.html_nodes
+    monkeypatch.setattr(profiles, "html_nodes", lambda pages, **wanted: asked.append(wanted["within"]) or real(pages, **wanted))
+    assert QUERIES[name](spark, sf_dir).count()
+    assert [len(set(within) - set(profiles.DECIDING_ROOTS)) for within in asked] == [lists]
+
+
+def test_fields_alone_are_those_of_the_whole_record(spark):
+    from citeweave.plans.citing import listing_records
+    from citeweave.plans.profiles import RECORD, profile_records
+
+    row = '<tr class="gsc_a_tr"><td><a class="gsc_a_at" href="/p">T</a></td><td class="gsc_a_y"><span class="gsc_a_h">1999</span></td></tr>'
+    found = '<div class="gs_r gs_or gs_scl"><h3 class="gs_rt"><a href="/r">R</a></h3></div>'
+    bodies = [
+        None, "", "<p>x", "<![x", row, f'<table id="gsc_rsb_st"><tbody>{row}</tbody></table>', found, '<div id="gs_nml"><a class="gs_nma">1</a></div>',
+        f'<div class="gsc_prf_il">Professor, <a class="gsc_prf_ila" href="/o">Z</a><table>{row}{row}</table></div>',
+        '<div class="gsc_prf_il">Prof. <a class="gsc_prf_ila">Z</a></div><div class="gsc_md_hist_b"><span class="gsc_g_t">1</span><a class="gsc_g_a">2</a></div>',
+        f'<div class="gs_r"><div id="gs_nml">{found}<a class="gs_nma" href="/2">2</a></div>{found}</div>', f'<div id="gs_nml"><div class="gs_r">{found}',
+        '<tr class="gsc_a_tr"><div class="gsc_prf_il">Head</div><div id="gsc_prf_int"><a class="gsc_prf_inta">a</a></div>',
+    ]
+    pages = spark.createDataFrame([(str(i), i, html) for i, html in enumerate(bodies)], "url string, page_id long, html string").localCheckpoint()
+
+    def rows(records, *fields):
+        return sorted(map(repr, records.select("url", *(f"record.{f}" for f in fields)).collect()))
+
+    whole = profile_records(pages)
+    for field in RECORD[1:]:
+        assert rows(profile_records(pages, (field,)), "ok", field) == rows(whole, "ok", field)
+    assert rows(profile_records(pages, ()), "ok") == rows(whole, "ok")
+    for field in ("links", "results"):
+        assert rows(listing_records(pages, field), "ok", field) == rows(listing_records(pages), "ok", field)
+
+
+def test_pages_of_every_kind_lie_in_each_part_of_the_chains_pages(spark, sf_dir):
+    """Each job asks for one kind: no task has most of them."""
+    from citeweave.rendering import chain_pages
+
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").repartition(4)
+    nobody = customer.limit(1).select("*", F.lit(None).cast("int").alias("n")).withColumn("c_nationkey", F.col("n")).drop("n")
+    kind = F.expr("CASE WHEN url LIKE '%view_op=view_citation%' THEN 1 WHEN url LIKE '%cites=%' THEN 2 WHEN url LIKE '%user=%' THEN 3 "
+                  "WHEN url LIKE '%search_authors%' THEN 4 ELSE 5 END")
+    pages = chain_pages(customer).select(F.spark_partition_id().alias("part"), kind.alias("kind"))
+    kinds = {r.part: r.n for r in pages.groupBy("part").agg(F.countDistinct("kind").alias("n")).collect()}
+    assert kinds == dict.fromkeys(range(4), 5)
+    assert chain_pages(nobody).count() == 2
+
+
+def test_result_blocks_bring_no_attributes_along(spark, sf_dir, monkeypatch):
+    from citeweave.catalog import nodes
+
+    asked, real = [], nodes.html_nodes
+    monkeypatch.setattr(nodes, "html_nodes", lambda pages, **wanted: asked.append(wanted.get("attrs")) or real(pages, **wanted))
+    assert QUERIES["result_blocks"](spark, sf_dir).count() and asked == [()]
