@@ -29,7 +29,7 @@ PER_SHARD = 4_096  # sequences of a file: 8 MB
 ROUNDS = 4
 MAX_BROADCAST_TASKS = 1_000_000
 MOST_READERS, MOST_WRITERS = 10_000, 50_000
-LEVEL = 6  # of the compression a sequence's ids move to their slot with
+LEVEL = 6  # of the compression that sequences are stored with, and that their ids move to their slot with
 WIDTH = 2  # bytes of an id, little-endian
 
 
@@ -174,7 +174,7 @@ def materialise_order(
     file and no row; columns other than the two are not read, whatever their names.
     """
     folder = new_path(docs.sparkSession, "order")
-    made = packed(_sequences(docs, length, vocabulary), "sequences")
+    made = packed(_sequences(docs, length, vocabulary), "sequences", LEVEL)
     # Numbers without gaps: one row per task is summed up.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = made.groupBy("part").agg(F.count("*").alias("n"))

@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -105,3 +106,19 @@ def test_queries(spark):
     rows = QUERIES["op6_training_order"](spark, SF).collect()
     assert sorted(r.slot for r in rows) == list(range(len(rows)))
     assert sum(r.n_tokens for r in rows) == sum(want.values()) + len(want) and sum(r.n_docs for r in rows) == len(want)
+
+
+def test_sequences_are_stored_more_closely_at_their_level(spark, monkeypatch):
+    from citeweave.llm import training_order
+
+    stored, real = [], training_order.packed
+    monkeypatch.setattr(training_order, "packed", lambda df, *options: stored.append((df, real(df, *options))) or stored[-1][1])
+    docs = spark.range(400, numPartitions=1).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 300), i -> "
+        "concat('w', hash(id % 40, i) % 5000, ' is')), id) AS text")
+    training_order.materialise_order(docs)
+    (made, written), = stored
+
+    def size(df):
+        return sum(os.path.getsize(f.removeprefix("file://")) for f in df.inputFiles())
+
+    assert size(written) < 0.98 * size(real(made, "default"))
