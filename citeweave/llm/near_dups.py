@@ -10,11 +10,12 @@ Work that would grow with the square of a group's size is avoided as far as it c
    best such pairs are confirmed; this joins most groups by a number of pairs linear in their size;
 3. only buckets that still hold several components are paired out, between components: nodes that share a
    rare shingle, and nodes of small buckets whose common shingles alone would be enough for a link;
-4. the nodes of a large bucket are told by what they add to and leave out of a common centre. Two sets at d and e shingles
-   from it, with the sizes m and n, are linked if and only if at least (d + e - (100 - p) / (100 + p) * (m + n)) / 2 of
+4. before that, the nodes of large buckets that meet around a common centre are dealt into small shares by chance, a few times over,
+   and paired within them: where links are many, they soon are one component, whose other pairs need not be looked at;
+5. the nodes that are still apart are told by what they add to and leave out of the centre. Two sets at d and e shingles from it, with the sizes m and n, are linked if and only if at least (d + e - (100 - p) / (100 + p) * (m + n)) / 2 of
    these differences are the same; where that asks for none, both are linked to the centre. Differences of one
    node alone are left out and the others taken rarest first, so only as many are joined as must hold one in common.
-   Where many edits of a group meet in the same places, a share of its pairs still comes up.
+   Where many edits of a group meet in the same places and few of its pairs are links, a share of its pairs still comes up.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ LEAST_CHANCE = 1e-8  # that a link has fewer agreeing minhashes than are asked f
 RARE_NODES = 32
 SMALL_BUCKET = 32
 PER_PART = 1000  # members of a centre that meet one copy of its set
+SHARE, DEALS = 16, 4  # members of a centre that are paired with each other in a deal, and the most deals
+FEW_MERGES = 20  # a deal that leaves no more than one component less for so many members is the last
 CLASSES = 16  # of distances from a centre, in each doubling
 
 _rng = np.random.Generator(np.random.PCG64(3))
@@ -284,10 +287,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     return found.join(wanted.select("hi", "lo", "node"), ["hi", "lo"]).dropDuplicates(["node"]).select("node", F.col("set"))
 
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold more than one component."""
-    mixed = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    return rows.join(mixed.select("key"), "key", "left_semi")
+def _mixed(rows: DataFrame, key: str = "key") -> DataFrame:
+    """Rows of the buckets, or of what else `key` names, that hold more than one component."""
+    mixed = rows.groupBy(key).agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    return rows.join(mixed.select(key), key, "left_semi")
 
 
 def _shared_shingles(open_rows: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -389,6 +392,38 @@ def _centres(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return small, dealt.select("centre", "part", "node", "n_shingles", "component")
 
 
+def _renamed(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows with the new names of their components, from `names (was, now)`."""
+    now = F.coalesce("now", "component").alias("component")
+    return rows.join(names, F.col("component") == F.col("was"), "left").select(*(now if c == "component" else c for c in rows.columns))
+
+
+def _dealt(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """`(links, names)`: confirmed links `(u, v)` of members that chance has brought together, and components by what they are part of now.
+
+    Pairs are a few for each member and deal, whatever the size of its group.
+    """
+    links = members.sparkSession.createDataFrame([], "u long, v long")
+    shares = members.groupBy("centre").agg(F.ceil(F.count("*") / SHARE).alias("shares"))
+    held = materialise(members.drop("part").join(shares, "centre").withColumn("first", F.col("component")), "dealt")
+    total = held.count()
+    for deal in range(DEALS):
+        share = F.xxhash64("centre", F.pmod(F.xxhash64("node", F.lit(deal)), F.col("shares")))
+        pairs = _across(held.withColumn("share", share), "share", percent).distinct()
+        found = materialise(_confirmed(_agreeing(pairs, nodes, least), sets, percent), "links")
+        labels = held.select("node", "component").distinct()
+        joined = found.join(labels.toDF("u", "x"), "u").join(labels.toDF("v", "y"), "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
+        merged = components(joined).toDF("was", "now").filter("was > now")
+        merges = merged.count()
+        if not merges:
+            break
+        links = links.unionByName(found)
+        held = materialise(_renamed(held, merged), "dealt")
+        if merges * FEW_MERGES <= total:
+            break
+    return links, materialise(held.filter("first > component").select(F.col("first").alias("was"), F.col("component").alias("now")).distinct(), "names")
+
+
 def _differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Members with the size of their centre's set, whether they are linked to it, the number of shingles only one of
     both has, and those: added ones by their hash, left out ones by their hash under a mask."""
@@ -428,8 +463,10 @@ def _around_centres(members: DataFrame, sets: DataFrame, percent: int) -> tuple[
     found = materialise(_differences(members, sets, percent), "differences")
     links = found.filter("linked").select(F.col("node").alias("u"), F.col("centre").alias("v"))
 
-    each = found.select("centre", "node", F.explode("differences").alias("difference"))
-    counts = each.groupBy("centre", "difference").agg(F.count("*").alias("n")).filter("n > 1")
+    # A difference of one component only is none that a pair to be found has in common.
+    each = found.select("centre", "node", "component", F.explode("differences").alias("difference"))
+    counts = each.groupBy("centre", "difference").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+    counts = counts.filter("x < y").drop("x", "y")
     shared = each.join(counts, ["centre", "difference"]).groupBy("centre", "node").agg(
         F.sort_array(F.collect_list(F.struct("n", "difference"))).getField("difference").alias("shared")
     )
@@ -508,6 +545,7 @@ def near_duplicates(
         "key", "node", "n_shingles", F.coalesce("component", "node").alias("component")
     )
     open_rows = materialise(_mixed(labelled), "open")
+    least = least_agreeing(percent, 2 * bands * band_rows)
     if open_rows.limit(1).count():
         # Runs that a partition's edge has cut were not paired so far.
         more = open_rows.select("node").distinct().join(sets.select("node"), "node", "left_anti")
@@ -518,15 +556,17 @@ def near_duplicates(
         open_rows = materialise(_mixed(_linkable(open_rows.join(cores, "node"), percent)), "open")
         overlap = (100 + percent) * F.least("core", "core_2") >= percent * (F.col("n_shingles") + F.col("n_shingles_2"))
         small, members = _centres(open_rows)
+        drawn, names = _dealt(members, nodes, sets, percent, least)
+        members, small, rare = _renamed(members, names), _mixed(_renamed(small, names)), _mixed(_renamed(rare, names), "hash")
         to_centres, around = _around_centres(members, sets, percent)
         small = materialise(_with_bands(small, nodes, bands, band_rows), "open")
         across = _across(small, "key", percent, overlap & _first_table(bands))
         across = across.unionByName(around).unionByName(_across(rare, "hash", percent)).distinct()
-        first_links = first.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(to_centres)
+        first_links = first.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(to_centres).unionByName(drawn)
     else:
         across = open_rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
         first_links = first.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    left = materialise(_agreeing(across, nodes, least_agreeing(percent, 2 * bands * band_rows)).select("a", "b"), "pairs")
+    left = materialise(_agreeing(across, nodes, least).select("a", "b"), "pairs")
     final = components(_confirmed(left, sets, percent).unionByName(first_links))
 
     labels = classes.join(final, "node", "left").select("hi", "lo", "node", "doc_id", F.coalesce("component", "node").alias("component"))

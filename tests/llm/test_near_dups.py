@@ -175,6 +175,27 @@ def test_large_group_just_below_the_threshold(spark, monkeypatch, n):
     assert joined[0] < n * n / 2 / 10
 
 
+def test_links_joined_do_not_grow_with_the_square_of_a_dense_group(spark, monkeypatch):
+    """Copies of one text with 2 to 6 edits, of which two with up to 6 together are linked: about a quarter of all pairs."""
+    plain, figures = near_dups._confirmed, []
+
+    def counted(pairs, sets, percent):
+        found = plain(pairs, sets, percent)
+        figures[-1] += found.count()
+        return found
+
+    monkeypatch.setattr(near_dups, "_confirmed", counted)
+    for n in (200, 800):
+        rng = random.Random(6)
+        base = prose(rng, 400, 90000)
+        texts = [edited(rng, base, rng.choice((2, 3, 4, 5, 6))) for _ in range(n)]
+        figures.append(0)
+        found = near_duplicates(documents(spark, texts).repartition(4)).collect()
+        assert sorted((r.doc_id, r.component_id) for r in found) == list(enumerate(components_by_overlaps(texts)))
+    few, many = figures
+    assert many < 8 * few and many < 8 * 800
+
+
 def test_differences_find_every_pair_of_a_centre(spark):
     """Without buckets: all members of one centre, each a component of its own."""
     texts = large_group(120, words=60, seed=8) + ["one two three four five six"]
