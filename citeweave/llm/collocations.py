@@ -6,7 +6,7 @@ on and the same weight, together to one row each. After the edges are summed, th
 it: what its edges carry on to the right, plus the places where a piece ends behind it.
 
 Runs that cannot reach the least count need no edges. A first pass over the texts counts words exactly, and runs of two and three
-words in a table of fixed size, whose counters can only be too high. Where a run falls short there, the path ends as at the end of
+words in a table of fixed size, whose counters can only be too high; a run with a word that falls short does so too. Where a run falls short there, the path ends as at the end of
 a piece: the flow of every run that does reach the least count stays exact. The larger the input, the fewer runs the table
 rules out; results do not depend on it.
 
@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bloom import bit_table, may_hold
 from .tables import materialise, packed
 from .words import Texts, Words, mix, slices, word_ranges, hash_ranges
 
@@ -32,7 +33,8 @@ LEAST = 100
 TOP = 2_000
 SKETCH_BITS = 24  # counters of the table, as a power of two
 SLICE = 4 << 20
-HELD_WORDS = 4 << 20  # words of runs that a task holds before it sends them on
+HELD_WORDS = 4 << 20  # words of runs that a task holds before it puts them together, and sends them on if more than half are left
+SPLITS = 4  # of the input that a task counts together, at least, where there are so many for each core
 _BLOCK_BITS = 16  # counters are moved in blocks
 _UNKNOWN = "und"
 
@@ -172,12 +174,16 @@ def _flagged(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     return (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
-def runs_of(pieces: Pieces, table: np.ndarray, bits: int, longest: int = LONGEST) -> np.ndarray:
-    """Per place, the length of the longest run from there on that may be frequent; up to `longest`."""
+def runs_of(pieces: Pieces, table: np.ndarray, bits: int, longest: int = LONGEST, words: np.ndarray | None = None) -> np.ndarray:
+    """Per place, the length of the longest run from there on that may be frequent; up to `longest`.
+
+    words: a bit table of the frequent words; no run that has another one is frequent."""
     key, goes_on = pieces.key, pieces.goes_on
+    known = np.ones(len(key), bool) if words is None else may_hold(words, key)
     held = [np.zeros(len(key) + longest, bool) for _ in (2, 3)]
     for size, flags in zip((2, 3), held):
         at = _starts(goes_on, size)
+        at = at[np.all([known[at + k] for k in range(size)], axis=0)]
         flags[at[_flagged(table, run_hash(key, at, size), bits)]] = True
     two, three = held
     length = np.ones(len(key), np.int64)
@@ -240,12 +246,17 @@ def compact(edges: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndar
     return words, bounds[np.append(np.flatnonzero(first), n)], weights[order][first]
 
 
-def _paths(docs: DataFrame, text: str, lang: str, table: np.ndarray, bits: int, longest: int) -> DataFrame:
+def _tasks(splits: int, cores: int) -> int:
+    """Tasks that fill the cores once or several times over, each of `SPLITS` splits or more where there are so many."""
+    return min(splits, cores * max(1, splits // (SPLITS * cores)))
+
+
+def _paths(docs: DataFrame, text: str, lang: str, table: np.ndarray, bits: int, longest: int, words: np.ndarray | None = None) -> DataFrame:
     """`(words, n)`: paths of edges, and the shorter runs that no frequent longer one goes on from, with how often they occur."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = docs.sparkSession.sparkContext.broadcast((table, words))
 
-    def row(words: np.ndarray, bounds: np.ndarray, n: np.ndarray):
-        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(words.view(np.int64)))
+    def row(keys: np.ndarray, bounds: np.ndarray, n: np.ndarray):
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys.view(np.int64)))
         return pa.RecordBatch.from_arrays([lists, pa.array(n, pa.int64())], names=["words", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -253,6 +264,12 @@ def _paths(docs: DataFrame, text: str, lang: str, table: np.ndarray, bits: int,
         held: dict[int, list] = {size: [] for size in range(2, longest + 1)}
         waiting = 0
 
+        def put_together():
+            for parts in held.values():
+                if len(parts) > 1:
+                    parts[:] = [_distinct(*(np.concatenate(x) for x in zip(*parts)))]
+            return sum(rows.size for parts in held.values() for rows, _ in parts)
+
         def together():
             for size, parts in held.items():
                 if parts:
@@ -262,18 +279,23 @@ def _paths(docs: DataFrame, text: str, lang: str, table: np.ndarray, bits: int,
 
         for batch, texts in slices(batches, text, SLICE):
             pieces = Pieces(texts, batch.column(batch.schema.get_field_index(lang)))
-            length = runs_of(pieces, shared.value, bits, longest)
+            length = runs_of(pieces, shared.value[0], bits, longest, shared.value[1])
             for size, parts in held.items():
                 at = np.flatnonzero(length == size)
                 if len(at):
                     parts.append(_distinct(pieces.key[at[:, None] + np.arange(size)], np.ones(len(at), np.int64)))
                     waiting += parts[-1][0].size
             if waiting > HELD_WORDS:
-                yield from together()
-                waiting = 0
+                waiting = put_together()
+                if waiting > HELD_WORDS // 2:
+                    yield from together()
+                    waiting = 0
         yield from together()
 
-    return docs.select(F.col(text), F.col(lang).cast("string").alias(lang)).mapInArrow(run, "words array<long>, n long")
+    # A run is sent once a task: tasks of several splits send it less often.
+    wanted = docs.select(F.col(text), F.col(lang).cast("string").alias(lang))
+    wanted = wanted.coalesce(max(1, _tasks(wanted.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism)))
+    return wanted.mapInArrow(run, "words array<long>, n long")
 
 
 def run_counts(paths: DataFrame, least: int, longest: int) -> DataFrame:
@@ -325,7 +347,8 @@ def collocations(
     """
     surveyed = packed(_survey(docs, text, lang, least, bits), "survey")
     words = _dictionary(surveyed, least)
-    runs = materialise(run_counts(_paths(docs, text, lang, _may_reach(surveyed, least, bits), bits, longest), least, longest), "runs")
+    paths = _paths(docs, text, lang, _may_reach(surveyed, least, bits), bits, longest, bit_table(words, "key"))
+    runs = materialise(run_counts(paths, least, longest), "runs")
 
     size = F.size("run")
     longer = runs.filter(size > 2).select(F.explode(F.array(F.slice("run", 1, size - 1), F.slice("run", 2, size - 1))).alias("_in"), F.col("f").alias("_f"))

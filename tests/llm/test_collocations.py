@@ -7,7 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from citeweave.llm.collocations import _heads, collocations, compact
+from citeweave.llm import collocations as module
+from citeweave.llm.collocations import _heads, _paths, _tasks, collocations, compact
 from citeweave.llm.queries import ORACLES, QUERIES
 from tests.oracle import differences, duck
 
@@ -115,6 +116,25 @@ def test_one_path_for_a_chain_and_none_for_a_ring():
     assert head.tolist() == [0, 1, 2, 3, 3] and steps.tolist() == [0, 0, 0, 0, 1]
 
 
+def test_runs_are_sent_once_a_task_of_several_splits(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    splits = 8 * cores
+    docs = frame(spark, [("one two three, four five", "en")] * (20 * splits)).repartition(splits)
+    monkeypatch.setattr(module, "SLICE", 100)  # several slices a task,
+    monkeypatch.setattr(module, "HELD_WORDS", 16)  # and runs put together after each few
+    table = np.full((1 << 10) // 8, 255, np.uint8)
+    sent = _paths(docs, "text", "lang", table, 10, 5).collect()
+    # "one two three", "two three" and "four five"
+    assert len(sent) <= 3 * splits / 4
+    assert sum(r.n for r in sent) == 3 * 20 * splits
+    # Runs with a word that is not frequent are not sent, whatever the table of runs says.
+    assert _paths(docs, "text", "lang", table, 10, 5, np.zeros(1 << 14, np.uint64)).count() == 0
+
+
+def test_tasks_fill_the_cores():
+    assert [_tasks(splits, 6) for splits in (0, 1, 6, 7, 23, 24, 32, 47, 48, 480)] == [0, 1, 6, 6, 6, 6, 6, 6, 12, 120]
+
+
 def test_query_against_sql(spark):
     assert differences(QUERIES["op11_de_bruijn"](spark, SMALL), ORACLES["op11_de_bruijn"], duck(SMALL)) == []
 
