@@ -165,3 +165,24 @@ def test_result_blocks_bring_no_attributes_along(spark, sf_dir, monkeypatch):
     asked, real = [], nodes.html_nodes
     monkeypatch.setattr(nodes, "html_nodes", lambda pages, **wanted: asked.append(wanted.get("attrs")) or real(pages, **wanted))
     assert QUERIES["result_blocks"](spark, sf_dir).count() and asked == [()]
+
+
+@pytest.mark.parametrize("name", ["strip", "collapse"])
+def test_texts_that_stay_as_they_are_are_spared_the_slow_rules(spark, name):
+    """White space of all kinds at the ends and within goes as the slow rules have it; a plain text is not handed to them."""
+    import itertools
+    import re
+
+    from citeweave.constants import PY_SPACE
+    from citeweave.functions import text as X
+
+    ends = ["", " ", "  ", "\t", "  ", "\xa0", "\x85", "!", "~", "\x7f", "\x00", "é", "　\n ", "a", "\U0001f600"]
+    texts = [a + m + b for a, m, b in itertools.product(ends, ["", "x", "a b", "a  b", "a \t b", "a b c", "[é] "], ends)]
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    found = {r.t: r.x for r in rows.select("t", getattr(X, name)(F.col("t")).alias("x")).collect()}
+    run = "[" + re.escape(PY_SPACE) + "]+"
+    for t in texts:
+        assert found[t] == (t.strip(PY_SPACE) if name == "strip" else re.sub(run, " ", t).strip(" ")), repr(t)
+    assert found[None] is None
+    rule = rows.select(getattr(X, name)(F.col("t")).alias("x"))._jdf.queryExecution().analyzed().expressions().head().sql()
+    assert "CASE WHEN" in rule if name == "strip" else "(?<! )" in rule and "' ')" not in rule.replace("', ' ', 1)", "")
