@@ -167,6 +167,17 @@ def test_result_blocks_bring_no_attributes_along(spark, sf_dir, monkeypatch):
     assert QUERIES["result_blocks"](spark, sf_dir).count() and asked == [()]
 
 
+def test_reference_expression_runs_behind_a_quick_test(spark):
+    """Signs with a common beginning are told by it first, and a page without a `&` is spared the expression."""
+    from citeweave.operators.html_nodes import may_hold
+
+    frame = spark.createDataFrame([("<p class=gs_nml>",), ("<p class=gs_x>",), ("<p class=g>",), (None,)], "html string")
+    found = frame.select(may_hold(F.col("html"), ("gs_r", "gs_nml")).alias("held"))
+    assert [r.held for r in found.collect()] == [True, False, False, True]
+    rule = found._jdf.queryExecution().optimizedPlan().expressions().head().sql()
+    assert "contains(html, 'gs_') AND" in rule and "contains(html, '&') AND" in rule
+
+
 @pytest.mark.parametrize("name", ["strip", "collapse"])
 def test_texts_that_stay_as_they_are_are_spared_the_slow_rules(spark, name):
     """White space of all kinds at the ends and within goes as the slow rules have it; a plain text is not handed to them."""
